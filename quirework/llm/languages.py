@@ -33,6 +33,7 @@ MISSING = ("", "und", "unknown")
 SEGMENTS = "doc_id bigint, segment int, lang string, confidence double, char_start int, char_end int, n_chars int, main_lang string, main_confidence double"
 _COLUMNS = [c.split()[0] for c in SEGMENTS.split(", ")]
 _SENTENCE = re.compile(r"[^。！？!?.\n]*(?:[。！？]+|[!?.]+(?=\s|\Z)|[!?.]|\n|\Z)[”’\"'」』）)]*\s*")
+_ASIDE = re.compile(r"\s*[（(\[【][^（(\[【）)\]】]*[）)\]】]\s*")
 _LETTER = np.zeros(1 << 16, dtype=bool)
 _LETTER[[i for i in range(1 << 16) if chr(i).isalpha()]] = True
 
@@ -162,8 +163,10 @@ def segments(docs: DataFrame, matrix: np.ndarray, doc_id: str = "doc_id", text:
     def one(doc: int, text: str, spans: list, score: np.ndarray, letters: np.ndarray, rows: list) -> None:
         if not letters.sum():
             return
-        first = score.argmax(axis=1)
-        plain = first[letters > 0]
+        aside = np.array([bool(_ASIDE.fullmatch(text, s, e)) for s, e in spans])
+        if aside.any() and letters[~aside].sum():  # a title or term in brackets takes the language around it
+            score, letters = np.where(aside[:, None], 0.0, score), np.where(aside, 0, letters)
+        plain = score.argmax(axis=1)[letters > 0]
         path = np.full(len(spans), plain[0]) if (plain == plain[0]).all() else _settle(score)
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
         total = {}
