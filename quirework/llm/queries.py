@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import languages, leakage, near_duplicates, packing, repetition, splitting
+from quirework.llm import confusables, languages, leakage, markup, near_duplicates, packing, repetition, splitting
 from quirework.sources.tables import latest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,20 @@ def limit_of(spark: SparkSession, sf_dir: str, field: str) -> tuple[int, int]:
     return int(row["max_size"]), int(row["overlap"])
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.marks(table(spark, sf_dir, "journal_blocks"), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
+
+
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean text and typed segments of every field with marks."""
+    return markup.clean(latest(table(spark, sf_dir, "journal_blocks"), ["block_uid"]), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
+
+
+def p2_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the runs that other pages of their journal repeat."""
+    return markup.repeated_runs(latest(table(spark, sf_dir, "journal_pages"), ["page_uid"]), "journal_id", "page_uid", "full_text").filter("covered > 0")
+
+
 def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sample id: its class and number of links."""
     return near_duplicates.classes(*near_duplicates.links(table(spark, sf_dir, "samples"), "id", "instruction", "answer"))
@@ -28,6 +42,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.pairs(*near_duplicates.links(table(spark, sf_dir, "samples"), "id", "instruction", "answer"))
 
 
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table(spark, sf_dir, "journal_blocks").select(F.lit("block").alias("rec"), F.col("block_uid").alias("rec_uid"), F.lit("text").alias("field_name"), "text")
+    articles = table(spark, sf_dir, "articles")
+    titles = articles.select(F.lit("article").alias("rec"), F.col("article_uid").alias("rec_uid"), F.lit("article_title").alias("field_name"), F.col("article_title").alias("text"))
+    keywords = articles.select(F.lit("article").alias("rec"), F.col("article_uid").alias("rec_uid"), F.lit("keywords").alias("field_name"), F.explode("keywords").alias("text"))
+    return blocks.unionByName(titles).unionByName(keywords)
+
+
+def p4_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text, title and keyword in one form."""
+    return confusables.examine(_named(spark, sf_dir)).select("rec", "rec_uid", "field_name", "text", "disguises")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusables.settle(confusables.examine(_named(spark, sf_dir)))
+
+
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     page, article = limit_of(spark, sf_dir, "journal_pages.full_text"), limit_of(spark, sf_dir, "articles.abstract")
     pages = splitting.split(table(spark, sf_dir, "journal_pages"), "page_uid", "full_text", *page)
@@ -87,4 +118,4 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.found(docs, languages.fit(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_links, p3_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_boilerplate, p4_normalized, p4_found, p3_links, p3_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
