@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import confusables, languages, leakage, markup, near_duplicates, packing, repetition, splitting
+from quirework.llm import confusables, languages, leakage, markup, near_duplicates, packing, pairs, repetition, splitting
 from quirework.sources.tables import latest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.settle(confusables.examine(_named(spark, sf_dir)))
 
 
+def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair's defect and the shares of its clauses' tags; repeated deliveries once."""
+    samples = table(spark, sf_dir, "samples")
+    return pairs.defects(samples, pairs.fit(samples)).distinct()
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = table(spark, sf_dir, "samples")
+    return pairs.defects(samples, pairs.fit(samples)).filter("defect IS NOT NULL").select("id", "defect").distinct()
+
+
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     page, article = limit_of(spark, sf_dir, "journal_pages.full_text"), limit_of(spark, sf_dir, "articles.abstract")
     pages = splitting.split(table(spark, sf_dir, "journal_pages"), "page_uid", "full_text", *page)
@@ -118,4 +129,4 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.found(docs, languages.fit(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_boilerplate, p4_normalized, p4_found, p3_links, p3_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_boilerplate, p4_normalized, p4_found, p3_links, p3_found, p5_defects, p5_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
