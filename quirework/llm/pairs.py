@@ -29,7 +29,7 @@ _APOLOGY = re.compile(r"抱歉|对不起|恕|遗憾|\b(?:sorry|apologi[sz]e|apol
 _MACHINE = re.compile(r"语言模型|人工智能|AI助手|作为(?:一个|一名)?(?:AI|助手)|\b(?:as an AI|AI (?:model|assistant)|language model)\b", re.I)
 _UNABLE = re.compile(
     r"我(?:暂时|目前|并)?(?:无法|不能|不便|没有能力|没有办法|没办法|看不到|难以|不会|不可以|回答不了|不了解)|(?:恕|暂时)(?:我)?(?:无法|不能|不便)|(?:没有办法|无法|不能)(?:作答|回答|协助|完成该|提供[^，。]{0,12}(?:分析|答案|帮助))|我回答不了|超出(?:了)?我的(?:能力|知识)|"
-    r"\bI(?:'m| am)?(?: \w+){0,2} (?:cannot|can't|can not|unable|not able|decline|won't|don't have|do not have|couldn't)\b|\bI (?:must|have to) decline\b|\b(?:unable|not able) to (?:answer|assist|help|comment|complete|view|provide|respond)\b|beyond my (?:ability|abilities|knowledge)",
+    r"\bI(?:'m| am)?(?: \w+){0,2} (?:cannot|can't|can not|unable|not able|decline|won't|don't have|do not have|couldn't)\b|\bI (?:must|have to) decline\b|\b(?:unable|not able) to (?:answer|assist|help|comment|complete|view|provide|respond)\b|beyond (?:my (?:ability|abilities|knowledge)|what I can)\b",
     re.I,
 )
 _REFERRAL = re.compile(r"请咨询|建议(?:您)?(?:咨询|查阅|参考|联系|直接)|内容(?:限制|政策)|欢迎继续提问|感谢理解|如有其他问题|\b(?:consult|let me know|feel free|ask (?:me )?another|content policy)\b", re.I)
