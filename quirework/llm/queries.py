@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import confusables, languages, leakage, markup, near_duplicates, packing, pairs, repetition, splitting
+from quirework.llm import confusables, languages, leakage, markup, near_duplicates, packing, pairs, repetition, scan_noise, splitting
 from quirework.sources.tables import latest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,19 @@ def limit_of(spark: SparkSession, sf_dir: str, field: str) -> tuple[int, int]:
     return int(row["max_size"]), int(row["overlap"])
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise.records(*(table(spark, sf_dir, t) for t in ("journal_pages", "journal_blocks", "journals")))
+
+
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page and block text as continuous paragraphs, with the noise it had."""
+    return scan_noise.repair(_scanned(spark, sf_dir)).dropDuplicates(["rec", "rec_uid", "part"])
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise.repair(_scanned(spark, sf_dir), with_text=False).select("rec", "rec_uid", F.explode("kinds").alias("noise")).distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.marks(table(spark, sf_dir, "journal_blocks"), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
 
@@ -129,4 +142,4 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.found(docs, languages.fit(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_boilerplate, p4_normalized, p4_found, p3_links, p3_found, p5_defects, p5_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_repaired, p1_found, p2_found, p2_clean, p2_boilerplate, p4_normalized, p4_found, p3_links, p3_found, p5_defects, p5_found, p6_pieces, p6_found, p7_fertility, p7_found, p8_containers, p8_found, p9_overlaps, p9_found, p10_segments, p10_found)}
