@@ -5,8 +5,7 @@ over line ends are joined where the corpus has the joined word rather than the h
 statistics over all texts: a word's anagram value is the sum of the fifth powers of its characters' values, so two words that
 differ in one confusable sign differ by a fixed amount. In SQL rare words are joined with frequent ones on the value that is left
 when confusable signs count alike (Latin words) or when the middle sign is taken off (an ideograph with its neighbours); the
-difference that remains names the confusion. Confusions are ranked by how evenly they spread over the frequent form's
-contexts, and the best correction of each rare form is applied.
+difference that remains names the confusion. Confusions are ranked by their contexts and their rate in them, and the best correction of each rare form is applied.
 """
 
 from __future__ import annotations
@@ -115,16 +114,10 @@ def _words(text: str) -> list[str]:
 
 
 def _codes(texts: list[str]) -> np.ndarray:
-    """Signs of all texts, in a row: figures, Latin letters and blanks alike, line ends between ideographs left out, texts parted."""
-    code = np.frombuffer("\x00\x00".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    """Signs of all texts, in a row: figures alike and Latin letters alike, texts parted."""
+    code = np.frombuffer(("\x00" + "\x00\x00".join(texts) + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     code = np.where((code >= 48) & (code <= 57), 48, code)
     code = np.where(((code >= 65) & (code <= 90)) | ((code >= 97) & (code <= 122)), 97, code)
-    line = code == 10
-    if line.any():
-        han = (code >= _HAN_LOW) & (code <= _HAN_HIGH)
-        inner = np.zeros(len(code), dtype=bool)
-        inner[1:-1] = line[1:-1] & han[:-2] & han[2:]
-        code = code[~inner]
     return code
 
 
@@ -222,8 +215,8 @@ def word_corrections(stats: DataFrame) -> DataFrame:
 def sign_corrections(stats: DataFrame) -> DataFrame:
     """(sign, right): ideographs in their neighbours' company that are read for another one.
 
-    A pair (read, right) counts as a confusion if the read form turns up in a good part of the right form's contexts, as scanning
-    strikes everywhere alike, or if it is seen hardly anywhere else; a pair of two words that both exist shares few contexts.
+    A pair (read, right) counts as a confusion if the read form turns up in several of the right form's contexts at the low rate of scanning,
+    or if it is seen hardly anywhere else; two signs that both belong somewhere share few contexts, at other rates.
     """
     t = stats.filter("kind = 't'").select("sign", "n")
     mask = (1 << 21) - 1
@@ -234,15 +227,19 @@ def sign_corrections(stats: DataFrame) -> DataFrame:
     near = best.select("sign", "mid", "n", F.col("top.mid").alias("right"), F.col("top.n").alias("m"))
     totals = t.groupBy("mid").agg(F.sum("n").alias("total"))
     strong = F.col("m") >= F.col("n") * SIGN_RATIO
-    pair = near.groupBy("mid", "right").agg(F.count(F.when(strong, 1)).alias("contexts"), F.sum(F.when(strong, F.col("m")).otherwise(0)).alias("mass"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("seen"))
+    pair = near.groupBy("mid", "right").agg(F.count(F.when(strong, 1)).alias("contexts"), F.sum(F.when(strong, F.col("m")).otherwise(0)).alias("mass"), F.sum(F.when(strong, F.col("n")).otherwise(0)).alias("seen"), F.count_distinct(F.when(strong, F.shiftright("sign", 42))).alias("lefts"), F.count_distinct(F.when(strong, F.col("sign").bitwiseAND(F.lit(mask)))).alias("rights"), F.max(F.shiftright("sign", 42)).alias("left"), F.max(F.col("sign").bitwiseAND(F.lit(mask))).alias("beside"))
     pair = pair.join(totals.withColumnRenamed("total", "total_read"), "mid").join(totals.select(F.col("mid").alias("right"), F.col("total").alias("total_right")), "right")
-    spread, share = F.col("mass") / F.col("total_right"), F.col("seen") / F.col("total_read")
-    rate = F.col("seen") / F.col("total_right")
-    # Scanning strikes a few characters in a thousand: a form that stands for another more often than that is a word of its own.
-    known = pair.filter((rate < 0.05) & (F.col("total_right") >= 20) & (((F.col("contexts") >= 3) & (spread >= 0.25)) | ((F.col("contexts") >= 2) & (share >= 0.4)) | (share >= 0.7)))
-    known = known.select("mid", "right", (share >= 0.4).alias("alone"))
+    # What is alike in all contexts must be an ideograph of the same word, not the start of a line or a stop.
+    han = lambda c: F.col(c).between(_HAN_LOW, _HAN_HIGH)
+    fits = ((F.col("lefts") >= 2) | han("left")) & ((F.col("rights") >= 2) | han("beside"))
+    share, rate = F.col("seen") / F.col("total_read"), F.col("seen") / F.col("mass")
+    # Scanning strikes a few characters in a thousand, everywhere alike: what stands in a form's contexts more often is a word of its own.
+    known = pair.filter((F.col("total_right") >= 20) & (((F.col("contexts") >= 3) & fits & (rate <= 0.02)) | ((F.col("contexts") >= 2) & (share >= 0.4)) | (share >= 0.7)))
+    known = known.select("mid", "right", (share >= 0.4).alias("alone"), ((share >= 0.9) & (F.col("seen") >= 3)).alias("always"))
     got = near.join(known, ["mid", "right"]).filter(F.col("alone") | (F.col("m") >= F.col("n") * SIGN_RATIO))
-    return got.select("sign", "right").distinct()
+    # A sign that is hardly ever right is wrong in a context of its own too; it goes without neighbours.
+    lone = known.filter("always").groupBy("mid").agg(F.max("right").alias("right")).select(F.shiftleft("mid", 21).alias("sign"), "right")
+    return got.groupBy("sign").agg(F.max_by("right", F.struct("m", "right")).alias("right")).unionByName(lone)
 
 
 def kept_hyphens(stats: DataFrame) -> DataFrame:
@@ -264,6 +261,8 @@ class Corrections:
     def __init__(self, words: dict[str, str], signs: np.ndarray, right: np.ndarray, hyphens: frozenset):
         order = np.argsort(signs)
         self.words, self.signs, self.right, self.hyphens = words, signs[order], right[order], hyphens
+        self.lone = np.zeros(1 << 16, dtype=bool)
+        self.lone[(self.signs[self.signs < 1 << 42] >> 21) & 0xFFFF] = True
         self.bits = np.zeros(1 << 20, dtype=bool)
         self.bits[self._slot(self.signs)] = True
 
@@ -281,22 +280,25 @@ class Corrections:
         at = np.flatnonzero((mid >= _HAN_LOW) & (mid <= _HAN_HIGH))
         key = (code[at] << 42) | (code[at + 1] << 21) | code[at + 2]
         maybe = np.flatnonzero(self.bits[self._slot(key)])
-        if len(maybe):
-            found = np.minimum(np.searchsorted(self.signs, key[maybe]), len(self.signs) - 1)
-            hit = self.signs[found] == key[maybe]
-            owner = np.cumsum((code == 0))[at[maybe[hit]]] // 2
-            for o, k in zip(owner.tolist(), key[maybe[hit]].tolist()):
+        found = np.minimum(np.searchsorted(self.signs, key[maybe]), len(self.signs) - 1)
+        hit = maybe[self.signs[found] == key[maybe]]
+        lone = np.flatnonzero(self.lone[mid[at]])
+        owner = np.cumsum(code == 0) // 2
+        for where, keys in ((hit, key[hit]), (lone, mid[at[lone]] << 21)):
+            for o, k in zip(owner[at[where]].tolist(), keys.tolist()):
                 out[o].add(k)
         return out
 
     def repair_signs(self, text: str, wrong: set) -> str:
         out = list(text)
-        places = [i for i, c in enumerate(text) if not (c == "\n" and 0 < i < len(text) - 1 and "一" <= text[i - 1] <= "鿿" and "一" <= text[i + 1] <= "鿿")]
+        signs = f"\x00{text}\x00"
         flat = lambda c: 48 if "0" <= c <= "9" else 97 if c.isascii() and c.isalpha() else ord(c)
-        for a, b, c in zip(places, places[1:], places[2:]):
-            k = (flat(text[a]) << 42) | (flat(text[b]) << 21) | flat(text[c])
-            if k in wrong:
-                out[b] = chr(int(self.right[np.searchsorted(self.signs, k)]))
+        for i, (a, b, c) in enumerate(zip(signs, signs[1:], signs[2:])):
+            if "一" <= b <= "鿿":
+                k = (flat(a) << 42) | (ord(b) << 21) | flat(c)
+                k = k if k in wrong else ord(b) << 21
+                if k in wrong:
+                    out[i] = chr(int(self.right[np.searchsorted(self.signs, k)]))
         return "".join(out)
 
 
