@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from quirework.session import checkpoint
 
-# Latin signs that scanning confuses, as pairs of what is read and what counts for it; longer ones first.
-LATIN_CLASSES = (("rn", "m"), ("cl", "d"), ("vv", "w"), ("|", "l"), ("1", "l"), ("i", "l"), ("0", "o"), ("e", "c"), ("h", "b"), ("t", "f"), ("5", "s"), ("9", "g"), ("q", "g"))
+# Latin signs that scanning confuses, as pairs of what is read and what counts for it; single signs first, so that pairs of signs meet them in one form.
+LATIN_CLASSES = (("|", "l"), ("1", "l"), ("i", "l"), ("0", "o"), ("e", "c"), ("h", "b"), ("t", "f"), ("5", "s"), ("9", "g"), ("q", "g"), ("rn", "m"), ("cl", "d"), ("vv", "w"), ("ll", "b"))
 #: A frequent form is at least so many times its rare variant.
+#: A word with a figure in it needs twice only.
 WORD_RATIO, SIGN_RATIO, KNOWN_RATIO = 12, 12, 4
 #: Corrections that a pass over the texts takes along at most (rows); more are applied in further passes.
 BLOCK = 500_000
@@ -141,9 +142,10 @@ def _light(text: str) -> str:
 
 
 def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts over a task's texts: 'w' words, 'h' broken words, 't' ideographs with neighbours."""
+    """Counts over a task's texts: 'w' words, 'h' broken words, 'j' words that are whole when joined, 't' ideographs with neighbours."""
     words: Counter = Counter()
     broken: Counter = Counter()
+    joined: Counter = Counter()
     seen: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -158,7 +160,7 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def rows() -> Iterator[pd.DataFrame]:
         merge()
-        for kind, counter in (("w", words), ("h", broken)):
+        for kind, counter in (("w", words), ("h", broken), ("j", joined)):
             if counter:
                 yield pd.DataFrame({"kind": kind, "word": list(counter), "sign": 0, "n": list(counter.values())})
         for key, n in seen:
@@ -171,8 +173,10 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if any(m in text for m in MARK):
                 for first, second in breaks(text):
                     broken[f"{first}\t{second}"] += 1
-                words.update(_words(_BREAK.sub(" \x00", text).lower()))
+                apart = Counter(_words(_BREAK.sub(" \x00", text).lower()))
+                words.update(apart)
                 text = _joined(text)
+                joined.update(Counter(_words(text.lower())) - apart)
             else:
                 words.update(_words(text.lower()))
             texts.append(text)
@@ -184,6 +188,7 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from rows()
             words.clear()
             broken.clear()
+            joined.clear()
             seen, held = [], 0
     yield from rows()
 
@@ -200,15 +205,15 @@ def anagram(word: F.Column) -> F.Column:
 
 def word_corrections(stats: DataFrame) -> DataFrame:
     """(wrong, right): rare Latin words and the frequent word that they are read for; the most frequent one where there are several."""
-    w = stats.filter("kind = 'w'").select("word", "n").filter(F.length("word") >= 3)
+    w = stats.filter("kind IN ('w', 'j')").filter(F.length("word") >= 3).groupBy("word").agg(F.sum("n").alias("n"))
     c = F.col("word")
     for read, stands in LATIN_CLASSES:
         c = F.replace(c, F.lit(read), F.lit(stands))
     # With confusable signs counted alike, the values of a word and of its misread forms differ by nothing; the canonical spelling then rules out other words of the same signs.
     w = w.withColumn("canon", c).withColumn("value", anagram(F.col("canon")))
-    right = w.filter("n >= 4 AND NOT word RLIKE '[0-9|]'").select(F.col("word").alias("right"), F.col("n").alias("m"), "value", "canon")
+    right = w.filter("n >= 3 AND NOT word RLIKE '[0-9|]'").select(F.col("word").alias("right"), F.col("n").alias("m"), "value", "canon")
     wrong = w.select(F.col("word").alias("wrong"), "n", "value", "canon")
-    got = wrong.join(right, ["value", "canon"]).filter((F.col("wrong") != F.col("right")) & (F.col("m") >= F.col("n") * WORD_RATIO))
+    got = wrong.join(right, ["value", "canon"]).filter((F.col("wrong") != F.col("right")) & (F.col("m") >= F.col("n") * F.when(F.col("wrong").rlike("[0-9|]"), 2).otherwise(WORD_RATIO)))
     return got.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
 
 
