@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from quirework.functions import text as T
+from quirework.operators.components import least_labels
+from quirework.session import checkpoint
 
 CORPUS = "domain_knowledge_corpus"
 # Which task goes to which export.
@@ -34,9 +36,9 @@ def task_format(task: Column) -> Column:
 
 
 def safe_name(c: Column, default: str) -> Column:
-    """Letters, figures, ideographs, dot, underscore and hyphen kept, other runs one underscore, ends trimmed."""
-    s = F.regexp_replace(T.clean_text(c), r"[^0-9A-Za-z一-鿿._-]+", "_")
-    s = F.regexp_replace(s, r"^[._]+|[._]+$", "")
+    """Signs that file names can't have, and white space, as one underscore; dots, underscores and blanks at the ends removed."""
+    s = F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r'[<>:"/\\|?*\x00-\x1f]+', "_")
+    s = F.regexp_replace(F.regexp_replace(s, r"(?U)\s+", "_"), r"^[._ ]+|[._ ]+$", "")
     return F.when(s == "", F.lit(default)).otherwise(s)
 
 
@@ -175,28 +177,39 @@ def near_pairs(samples: DataFrame, threshold: float = 0.92) -> DataFrame:
 
 
 def deduplicate(samples: DataFrame, near: DataFrame) -> DataFrame:
-    """Ordinals that a pass in order keeps: dropped are a kept id, a full page quota, kept content, and (corpus) a near-duplicate of a kept text.
+    """Ordinals that a pass in order keeps: dropped are, within a journal, a kept id, a full page quota, kept content, and (corpus) a near-duplicate of a kept text.
 
-    What is dropped leaves no trace, so the rules depend on each other and on order: the pass goes journal by journal over keys and near pairs only; no text enters it.
+    What is dropped leaves no trace, so the rules depend on each other and on order. Most rows share nothing with another and are kept at once; the rest falls into
+    connected groups of rows that share an id, content, an overfull slot or a near pair, and each group is passed over by itself, by keys alone, so a journal of any size is split.
     """
     m = F.col("metadata")
+    j = F.coalesce(m["journal_id"], F.lit(""))
+    s = samples.select("ordinal", F.xxhash64(j, F.lit("id"), "id").alias("i"), F.xxhash64(j, m["article_id"], m["page_index"], m["task_type"]).alias("slot"), F.xxhash64(j, F.lit("content"), content_hash()).alias("h"))
+    for key in ("i", "slot", "h"):
+        w = W.partitionBy(key)
+        s = s.withColumn(f"n_{key}", F.count("*").over(w)).withColumn(f"first_{key}", F.min("ordinal").over(w))
+    s = checkpoint(s)
+    shares = [(F.col("n_i") > 1, "first_i"), (F.col("n_h") > 1, "first_h"), (F.col("n_slot") > QUOTA, "first_slot")]
+    star = F.explode(F.array_compact(F.array(*(F.when(c, F.col(f)) for c, f in shares))))
+    edges = s.select(F.col("ordinal").alias("a"), star.alias("b")).unionByName(near.select("a", "b"))
+    groups = least_labels(edges)
+    tied = s.join(groups.withColumnRenamed("u", "ordinal"), "ordinal")
     partners = near.groupBy(F.col("b").alias("ordinal")).agg(F.collect_list("a").alias("near"))
-    s = samples.select("ordinal", "id", F.coalesce(m["journal_id"], F.lit("")).alias("j"), F.concat_ws("|", m["article_id"], m["page_index"].cast("string"), m["task_type"]).alias("slot"), F.left(content_hash(), F.lit(32)).alias("h"))
-    s = s.join(partners, "ordinal", "left")
+    tied = tied.join(partners, "ordinal", "left").select("label", "ordinal", "i", "h", "slot", "near")
 
-    def go(pdf):
-        ids, seen, kept, slots, rows = set(), set(), set(), {}, []
+    def go(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, seen, kept, slots = set(), set(), set(), {}
         for r in pdf.sort_values("ordinal").itertuples():
-            if r.id in ids or slots.get(r.slot, 0) >= QUOTA or r.h in seen or (r.near is not None and any(x in kept for x in r.near)):
+            if r.i in ids or r.h in seen or slots.get(r.slot, 0) >= QUOTA or (r.near is not None and kept.intersection(r.near)):
                 continue
-            ids.add(r.id)
+            ids.add(r.i)
             seen.add(r.h)
             kept.add(r.ordinal)
             slots[r.slot] = slots.get(r.slot, 0) + 1
-            rows.append(r.ordinal)
-        return pdf[pdf["ordinal"].isin(rows)][["ordinal", "j"]]
+        return pd.DataFrame({"ordinal": sorted(kept)})
 
-    return s.groupBy("j").applyInPandas(go, "ordinal bigint, j string")
+    free = s.join(groups.withColumnRenamed("u", "ordinal"), "ordinal", "left_anti").select("ordinal")
+    return free.unionByName(tied.groupBy("label").applyInPandas(go, "ordinal bigint"))
 
 
 def to_sharegpt(samples: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quirework.functions import text as T
-from quirework.operators import routing, samples
+from quirework.operators import quality, routing, samples
 
 
 def q(pattern: str) -> str:
@@ -189,10 +189,21 @@ def _terms(c: str) -> str:
 
 
 def _safe(c: str, default: str) -> str:
-    s = f"regexp_replace(regexp_replace({clean(c)}, '[^0-9A-Za-z一-鿿._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g')"
+    s = rf"""regexp_replace(regexp_replace(regexp_replace(trim(coalesce({c}, '')), '[<>:"/\\\\|?*\x00-\x1f]+', '_', 'g'), '[\s\p{{Z}}]+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g')"""
     return f"CASE WHEN {s} = '' THEN {q(default)} ELSE {s} END"
 
 
+VISUAL = "|".join(quality.VISUAL_TERMS)
+QLT3 = f"""
+WITH s AS (SELECT ordinal, {FORMAT} AS f, {QUESTION} AS q, {ANSWER} AS a, coalesce(output_payload.text, '') <> '' OR coalesce(output_payload.summary, '') <> '' AS payload FROM samples),
+t AS (SELECT *, {_terms("a")} AS w FROM s WHERE f IN ('sharegpt', 'alpaca')),
+r AS (SELECT ordinal, 1.0::DOUBLE{_minus("q = '' OR a = ''", 0.55)}{_minus("NOT payload", 0.35)}{_minus("(" + hit("a", quality.UNUSABLE) + " OR " + hit("a", quality.AVAILABLE) + ") AND len(list_slice(w, 1, 20)) < 4", 0.45)}{_minus("len(w) < 2", 0.25)} AS raw FROM t)
+SELECT ordinal, round_even(greatest(0.0::DOUBLE, least(1.0::DOUBLE, raw)), 3) AS score, raw >= 0.70::DOUBLE AS passed FROM r"""
+QLT4 = f"""
+WITH s AS (SELECT ordinal, task_type, coalesce(len(images), 0) AS n, {QUESTION} AS q FROM samples WHERE {FORMAT} = 'sharegpt'),
+r AS (SELECT ordinal, 1.0::DOUBLE{_minus("n < 1", 0.55)}{_minus("NOT " + hit("lower(q)", VISUAL), 0.35)}{_minus(f"task_type = '{quality.FIGURE_TASK}' AND NOT " + hit("q", quality.OBJECT_WORDS), 0.25)}{_minus(f"task_type IN ({names(quality.LAYOUT_TASKS)}) AND NOT " + hit("q", quality.LAYOUT_WORDS), 0.25)}{_minus(f"task_type = '{quality.CROSS_TASK}' AND NOT " + hit("q", quality.CROSS_WORDS), 0.25)} AS raw FROM s)
+SELECT ordinal, round_even(greatest(0.0::DOUBLE, least(1.0::DOUBLE, raw)), 3) AS score, raw >= 0.60::DOUBLE AS passed FROM r"""
+
 ORACLES: dict[str, str] = {
     "valid_boxes": f'WITH {BLOCKS} SELECT block_uid, top, "left", coalesce((x1 - x0) * (y1 - y0), 0.0) AS area FROM b',
     "page_sizes": f"WITH {BLOCKS} SELECT journal_id, page_index, coalesce(trunc(max(x1))::INT, 0) AS width, coalesce(trunc(max(y1))::INT, 0) AS height, count(*) AS n_blocks FROM b GROUP BY ALL",
@@ -240,6 +251,13 @@ g AS (SELECT journal_id, article_id, count(*) AS n_pages, (sum(length(t) + 1) -
     "quality_format": QUALITY,
     "sample_gate": f"""SELECT ordinal, id, CASE WHEN {FORMAT} = 'unknown' THEN 'task' WHEN coalesce(id, '') = '' THEN 'id' WHEN {FORMAT} = 'pt' AND length({clean(CORPUS)}) < 80 THEN 'short' WHEN {FORMAT} <> 'pt' AND {clean("instruction")} = '' THEN 'instruction'
 WHEN {FORMAT} <> 'pt' AND coalesce(output_payload.text, '') = '' AND coalesce(output_payload.summary, '') = '' THEN 'payload' WHEN coalesce(len(list_distinct(evidence.source_pages)), 0) < 1 THEN 'pages' WHEN task_type = 'cross_page_article_context' AND coalesce(len(list_distinct(evidence.source_pages)), 0) < 2 THEN 'cross_page' END AS reason FROM samples""",
+    "quality_relevance": QLT3,
+    "quality_visual": QLT4,
+    "image_pages": r"""WITH i AS (SELECT ordinal, coalesce(len(images), 0)::INT AS n_images, evidence.source_pages AS src, list_filter(list_transform(images, lambda x: regexp_extract(replace(x, chr(92), '/'), 'p(\d{1,4})', 1)), lambda x: x <> '') AS f FROM samples)
+SELECT ordinal, n_images, coalesce(len(f), 0) < 1 OR coalesce(len(src), 0) < 1 OR list_has_all(src, list_transform(f, lambda x: x::INT)) AS in_sources FROM i""",
+    "cross_page_bounds": f"SELECT ordinal, coalesce(task_type, '') <> '{quality.CROSS_TASK}' OR coalesce(len(images), 0) BETWEEN 2 AND 3 AS ok FROM samples",
+    "figure_instructions": f"""WITH s AS (SELECT ordinal, {QUESTION} AS q, metadata.journal_id AS j, metadata.article_id AS a FROM samples WHERE task_type = '{quality.FIGURE_TASK}')
+SELECT ordinal, q <> '' AND NOT {hit("q", quality.FIGURE_FORBIDDEN)} AND NOT EXISTS (SELECT 1 FROM articles t WHERE t.journal_id = s.j AND t.article_id = s.a AND t.article_title <> '' AND contains(s.q, {clean("t.article_title")})) AS generic FROM s""",
     "term_overlap": f"WITH s AS (SELECT ordinal, {_terms('q')} AS q, {_terms('a')} AS a FROM (SELECT ordinal, {QUESTION} AS q, {ANSWER} AS a FROM samples)) SELECT ordinal, len(list_intersect(q, a))::INT AS shared, len(a)::INT AS n_terms FROM s",
     "dedup_rules": """WITH s AS (SELECT ordinal, id, metadata.journal_id AS j, metadata.article_id AS a, metadata.page_index AS p, metadata.task_type AS t,
 CASE WHEN coalesce(output_payload.text, '') <> '' THEN output_payload.text ELSE coalesce(question, '') || chr(31) || coalesce(answer, '') || chr(31) || coalesce(output_payload.summary, '') END AS h FROM samples)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quirework.functions import responses
 from quirework.functions import text as T
-from quirework.operators import layout, links, pages, routing, samples
+from quirework.operators import layout, links, pages, quality, routing, samples
 from quirework.sources import readers
 from quirework.sources.tables import table
 from quirework.streaming import ingest
@@ -198,6 +199,37 @@ def sample_gate(spark, d):
     return samples.gate(_samples(spark, d))
 
 
+def quality_relevance(spark, d):
+    """QLT-3."""
+    return quality.relevance(_samples(spark, d))
+
+
+def quality_visual(spark, d):
+    """QLT-4."""
+    return quality.visual_dependency(_samples(spark, d))
+
+
+def image_pages(spark, d):
+    """QLT-5, SCL-20: image pages against source pages."""
+    return quality.image_pages(_samples(spark, d))
+
+
+def cross_page_bounds(spark, d):
+    """PRD-16."""
+    return quality.cross_page_bounds(_samples(spark, d))
+
+
+def figure_instructions(spark, d):
+    """PRD-15."""
+    return quality.generic_figure_instruction(_samples(spark, d), table(spark, d, "articles"))
+
+
+def parsed_responses(spark, d):
+    """SCL-18, SCL-19 over the events' property strings and over answers: objects read from each."""
+    raw = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("props").alias("raw"))
+    return raw.select("id", F.size(responses.parse_response(responses.strip_reasoning(F.col("raw")))).alias("n"))
+
+
 def term_overlap(spark, d):
     """SCL-14, JN-15, SET-1, SET-5."""
     return samples.term_overlap(_samples(spark, d))
@@ -283,7 +315,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         valid_boxes, page_sizes, block_roles, caption_labels, column_bands, column_assignment, column_modes, reading_order, reading_order_check, page_types, visible_blocks, paragraphs, page_texts,
         article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_containment, page_jobs, sections, section_jobs, page_windows,
-        article_jobs, corpus_windows, corpus_lines, sample_ids, quality_format, sample_gate, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
+        article_jobs, corpus_windows, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
         export_counts, evidence_blocks, parse_status, pending_pages, issue_fields, window_counts, user_sessions, page_roles_count,
     )
 }
