@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quirework.session import checkpoint
+from quirework.operators.components import least_labels
 
 N = 3
 THRESHOLD = 0.8
@@ -127,24 +127,9 @@ def pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
     return far.filter("_id_a <> _id_b").unionByName(near).select(F.least("_id_a", "_id_b").alias("id_a"), F.greatest("_id_a", "_id_b").alias("id_b")).distinct()
 
 
-def classes(members: DataFrame, linked: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """One row per id: rep, class_id (the least rep that links lead to) and n_links (links of its text).
-
-    Classes grow by alternating minimum propagation and pointer jumping, so rounds grow with the logarithm of the
-    longest chain; each round's labels go through checkpoint(). Nothing is collected but one count a round.
-    """
-    edges = checkpoint(linked.select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v")).unionByName(linked.select(F.col("rep_b").alias("u"), F.col("rep_a").alias("v"))))
-    label = checkpoint(members.select(F.col("rep").alias("u")).distinct().withColumn("l", F.col("u")))
-    for _ in range(max_rounds):
-        near = edges.join(label.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("l").alias("m"))
-        step = label.join(near, "u", "left").select("u", F.least("l", F.coalesce("m", "l")).alias("n"), "l")
-        jump = step.join(label.select(F.col("u").alias("n"), F.col("l").alias("j")), "n", "left").select("u", "l", F.least("n", F.coalesce("j", "n")).alias("n"))
-        new = checkpoint(jump)
-        changed = new.filter("n <> l").limit(1).count()
-        label = new.select("u", F.col("n").alias("l"))
-        if not changed:
-            break
-    else:
-        raise RuntimeError("classes did not settle")
-    degree = edges.groupBy("u").agg(F.count("*").alias("n_links"))
-    return members.join(label.select(F.col("u").alias("rep"), F.col("l").alias("class_id")), "rep").join(degree.withColumnRenamed("u", "rep"), "rep", "left").select("id", "rep", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+def classes(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """One row per id: rep, class_id (the least rep that links lead to) and n_links (links of its text)."""
+    label = least_labels(linked.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).withColumnRenamed("u", "rep")
+    ends = linked.select(F.explode(F.array("rep_a", "rep_b")).alias("rep"))
+    degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
+    return members.join(label, "rep", "left").join(degree, "rep", "left").select("id", "rep", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
