@@ -17,13 +17,27 @@ BLOCK_TYPES = {
 ITEM = T.StructType([T.StructField("type", T.StringType()), T.StructField("page_idx", T.IntegerType()), *(T.StructField(k, T.ArrayType(T.DoubleType())) for k in BOX_KEYS), *(T.StructField(k, T.StringType()) for k in TEXT_KEYS)])
 
 
+def _empty_files(spark: SparkSession, folder: str, recursive: bool, suffix: str = ".pdf") -> list[str]:
+    """Files of no bytes, which Spark's file sources pass over."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    it = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, recursive)
+    found = []
+    while it.hasNext():
+        f = it.next()
+        if f.getLen() == 0 and f.getPath().getName().endswith(suffix):
+            found.append(f.getPath().toString())
+    return found
+
+
 def journal_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
-    """PDF files under a folder: path, size, hash, readable page count by the raw marks (NULL and a reason where there is none). Unreadable files are rows with a reason, not failures."""
+    """PDF files under a folder, by path: size, hash, page count by the raw marks, and for unreadable ones a reason; those are rows too, not failures."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.pdf").load(folder)
-    raw = F.decode("content", F.lit("ISO-8859-1"))
+    raw = F.decode("content", "ISO-8859-1")
     pages = F.regexp_count(raw, F.lit(r"/Type\s*/Page\b"))
-    reason = F.when(F.col("length") == 0, "empty").when(~raw.startswith("%PDF"), "no header").when(pages == 0, "no pages")
-    return df.select("path", F.col("length").alias("file_size"), F.sha2("content", 256).alias("file_hash"), F.nullif(pages, F.lit(0)).alias("page_count"), reason.alias("reason")).orderBy("path")
+    reason = F.when(~raw.startswith("%PDF"), "no header").when(pages == 0, "no pages")
+    read = df.select("path", F.col("length").alias("file_size"), F.sha2("content", 256).alias("file_hash"), F.nullif(pages, F.lit(0)).alias("page_count"), reason.alias("reason"))
+    empty = [(p, 0, None, None, "empty") for p in _empty_files(spark, folder, recursive)]
+    return read.unionByName(spark.createDataFrame(empty, read.schema)).orderBy("path")
 
 
 def issue_fields(name: Column) -> dict[str, Column]:
