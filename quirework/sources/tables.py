@@ -7,9 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table `name` under `sf_dir`."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """The Parquet table `name` under `sf_dir`.
+
+    With `spread`, for stages that compute much per row, a table that has fewer splits than the session has cores is dealt out to all of them; larger tables
+    have more splits than that and are read as they are, without a shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def latest(df: DataFrame, keys: list[str], order: str = "ingested_at") -> DataFrame:
