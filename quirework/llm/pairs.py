@@ -20,6 +20,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 #: Pairs at most that the field is fitted on.
 SAMPLE = 600
 STEPS, RATE, L2 = 120, 0.25, 1e-3
+#: Clauses at most of a pair that the field is fitted on, the last ones; tagging takes all.
+LONGEST = 12
 DEFECTS = "id string, defect string, answer_share double, refusal_share double, echo_share double, foreign_share double, unfinished_share double"
 
 # Words that stand for no answer.
@@ -281,8 +283,8 @@ def broken_examples(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[np
             y = np.full(len(parts), TAGS.index("answer" if only_last else tag))
             if only_last:
                 y[-1] = TAGS.index(tag)
-            xs.append(x[-40:])
-            ys.append(y[-40:])
+            xs.append(x[-LONGEST:])
+            ys.append(y[-LONGEST:])
 
     for q, a in good:
         lang = wanted(q, language(q))
@@ -308,8 +310,8 @@ def broken_examples(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[np
             # the instruction again, and then an answer
             x, parts = features([q], [q + "\n" + a])[0]
             y = np.array([TAGS.index("echo" if r[_INDEX["echo_most"]] else "answer") for r in x])
-            xs.append(x[-40:])
-            ys.append(y[-40:])
+            xs.append(x[-LONGEST:])
+            ys.append(y[-LONGEST:])
     return xs, ys
 
 

@@ -20,7 +20,7 @@ def limit_of(spark: SparkSession, sf_dir: str, field: str) -> tuple[int, int]:
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_noise.records(*(table(spark, sf_dir, t) for t in ("journal_pages", "journal_blocks", "journals")))
+    return scan_noise.records(*(table(spark, sf_dir, t, spread=t != "journals") for t in ("journal_pages", "journal_blocks", "journals")))
 
 
 def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,31 +33,31 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.marks(table(spark, sf_dir, "journal_blocks"), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
+    return markup.marks(table(spark, sf_dir, "journal_blocks", spread=True), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
 
 
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean text and typed segments of every field with marks."""
-    return markup.clean(latest(table(spark, sf_dir, "journal_blocks"), ["block_uid"]), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
+    return markup.clean(latest(table(spark, sf_dir, "journal_blocks", spread=True), ["block_uid"]), "block_uid", ["text", "markdown"]).withColumnRenamed("uid", "block_uid")
 
 
 def p2_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the runs that other pages of their journal repeat."""
-    return markup.repeated_runs(latest(table(spark, sf_dir, "journal_pages"), ["page_uid"]), "journal_id", "page_uid", "full_text").filter("covered > 0")
+    return markup.repeated_runs(latest(table(spark, sf_dir, "journal_pages", spread=True), ["page_uid"]), "journal_id", "page_uid", "full_text").filter("covered > 0")
 
 
 def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sample id: its class and number of links."""
-    return near_duplicates.classes(*near_duplicates.links(table(spark, sf_dir, "samples"), "id", "instruction", "answer"))
+    return near_duplicates.classes(*near_duplicates.links(table(spark, sf_dir, "samples", spread=True), "id", "instruction", "answer"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.pairs(*near_duplicates.links(table(spark, sf_dir, "samples"), "id", "instruction", "answer"))
+    return near_duplicates.pairs(*near_duplicates.links(table(spark, sf_dir, "samples", spread=True), "id", "instruction", "answer"))
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = table(spark, sf_dir, "journal_blocks").select(F.lit("block").alias("rec"), F.col("block_uid").alias("rec_uid"), F.lit("text").alias("field_name"), "text")
-    articles = table(spark, sf_dir, "articles")
+    blocks = table(spark, sf_dir, "journal_blocks", spread=True).select(F.lit("block").alias("rec"), F.col("block_uid").alias("rec_uid"), F.lit("text").alias("field_name"), "text")
+    articles = table(spark, sf_dir, "articles", spread=True)
     titles = articles.select(F.lit("article").alias("rec"), F.col("article_uid").alias("rec_uid"), F.lit("article_title").alias("field_name"), F.col("article_title").alias("text"))
     keywords = articles.select(F.lit("article").alias("rec"), F.col("article_uid").alias("rec_uid"), F.lit("keywords").alias("field_name"), F.explode("keywords").alias("text"))
     return blocks.unionByName(titles).unionByName(keywords)
@@ -74,19 +74,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair's defect and the shares of its clauses' tags; repeated deliveries once."""
-    samples = table(spark, sf_dir, "samples")
+    samples = table(spark, sf_dir, "samples", spread=True)
     return pairs.defects(samples, pairs.fit(samples)).distinct()
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = table(spark, sf_dir, "samples")
+    samples = table(spark, sf_dir, "samples", spread=True)
     return pairs.defects(samples, pairs.fit(samples)).filter("defect IS NOT NULL").select("id", "defect").distinct()
 
 
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     page, article = limit_of(spark, sf_dir, "journal_pages.full_text"), limit_of(spark, sf_dir, "articles.abstract")
-    pages = splitting.split(table(spark, sf_dir, "journal_pages"), "page_uid", "full_text", *page)
-    articles = splitting.split(table(spark, sf_dir, "articles"), "article_uid", "abstract", *article)
+    pages = splitting.split(table(spark, sf_dir, "journal_pages", spread=True), "page_uid", "full_text", *page)
+    articles = splitting.split(table(spark, sf_dir, "articles", spread=True), "article_uid", "abstract", *article)
     both = pages.withColumn("rec", F.lit("page")).unionByName(articles.withColumn("rec", F.lit("article")))
     return both.withColumnRenamed("id", "rec_uid")
 
@@ -101,7 +101,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.profile(table(spark, sf_dir, "samples"), "id", ["answer", "text"])
+    return repetition.profile(table(spark, sf_dir, "samples", spread=True), "id", ["answer", "text"])
 
 
 def p7_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +115,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every document and piece."""
-    return packing.pack(table(spark, sf_dir, "documents"), limit_of(spark, sf_dir, "documents.text")[0])
+    return packing.pack(table(spark, sf_dir, "documents", spread=True), limit_of(spark, sf_dir, "documents.text")[0])
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and items that overlap exactly or with substitutions."""
-    return leakage.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return leakage.overlaps(table(spark, sf_dir, "documents", spread=True), table(spark, sf_dir, "eval_items"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,12 +133,12 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's stretches with language and confidence."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return languages.segments(docs, languages.fit(docs))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return languages.found(docs, languages.fit(docs))
 
 
