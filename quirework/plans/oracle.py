@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quirework.functions import text as T
-from quirework.operators import quality, routing, samples
+from quirework.operators import generation, quality, routing, samples
 
 
 def q(pattern: str) -> str:
@@ -204,6 +204,18 @@ WITH s AS (SELECT ordinal, task_type, coalesce(len(images), 0) AS n, {QUESTION}
 r AS (SELECT ordinal, 1.0::DOUBLE{_minus("n < 1", 0.55)}{_minus("NOT " + hit("lower(q)", VISUAL), 0.35)}{_minus(f"task_type = '{quality.FIGURE_TASK}' AND NOT " + hit("q", quality.OBJECT_WORDS), 0.25)}{_minus(f"task_type IN ({names(quality.LAYOUT_TASKS)}) AND NOT " + hit("q", quality.LAYOUT_WORDS), 0.25)}{_minus(f"task_type = '{quality.CROSS_TASK}' AND NOT " + hit("q", quality.CROSS_WORDS), 0.25)} AS raw FROM s)
 SELECT ordinal, round_even(greatest(0.0::DOUBLE, least(1.0::DOUBLE, raw)), 3) AS score, raw >= 0.60::DOUBLE AS passed FROM r"""
 
+def _sentences(c: str) -> str:
+    return rf"list_filter(list_transform(string_split(regexp_replace({c}, '([。！？；;.!?])\s*', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _with(ws: tuple[str, ...], limit: int = 4) -> str:
+    """The picked sentences of a column s16 of sixteen."""
+    hits = f"list_filter(s16, lambda x: {words('x', ws)})"
+    return f"list_transform(list_slice(CASE WHEN len({hits}) > 0 THEN {hits} ELSE s16 END, 1, {limit}), lambda x: rtrim(left(x, 260)))"
+
+
+SENT = f"{TEXTS}, sn AS (SELECT *, list_slice({_sentences('t')}, 1, 16) AS s16 FROM tr)"
+
 ORACLES: dict[str, str] = {
     "valid_boxes": f'WITH {BLOCKS} SELECT block_uid, top, "left", coalesce((x1 - x0) * (y1 - y0), 0.0) AS area FROM b',
     "page_sizes": f"WITH {BLOCKS} SELECT journal_id, page_index, coalesce(trunc(max(x1))::INT, 0) AS width, coalesce(trunc(max(y1))::INT, 0) AS height, count(*) AS n_blocks FROM b GROUP BY ALL",
@@ -247,6 +259,11 @@ w AS (SELECT a.journal_id, a.page_index, count(*) AS n, sum(length(x.t)) + count
 SELECT journal_id, page_index, "window" FROM w WHERE n >= 2 AND chars >= 120""",
     "article_jobs": f"""WITH {TEXTS}, n AS (SELECT *, row_number() OVER (PARTITION BY journal_id, article_id ORDER BY page_index) AS k FROM tr WHERE ok AND article_id <> 'article_unknown'),
 g AS (SELECT journal_id, article_id, count(*) AS n_pages, (sum(length(t) + 1) - 1)::BIGINT AS n_chars, bool_or({words("t", routing.CONCLUSION)}) AS ends FROM n WHERE k <= 8 GROUP BY ALL) SELECT journal_id, article_id, n_pages, n_chars FROM g WHERE n_chars >= 800 OR ends""",
+    "page_sentences": f"WITH {SENT} SELECT page_uid, len(s16)::INT AS n, coalesce(rtrim(left(s16[1], 220)), '') AS first, array_to_string({_with(generation.CLAIMS)}, '|') AS claims FROM sn",
+    "claim_chains": f"WITH {SENT} SELECT journal_id, page_index, {_with(generation.CLAIMS, 1)}[1] AS claim FROM sn WHERE ok AND {words('t', routing.CLAIM)}",
+    "contributions": f"""WITH {TEXTS}, n AS (SELECT *, row_number() OVER (PARTITION BY journal_id, article_id ORDER BY page_index) AS k FROM tr WHERE ok AND article_id <> 'article_unknown'),
+g AS (SELECT journal_id, article_id, string_agg(t, ' ' ORDER BY page_index) AS t FROM n WHERE k <= 8 GROUP BY ALL), f AS (SELECT *, list_slice({_sentences('t')}, 1, 16) AS s16 FROM g WHERE length(t) >= 800 OR {words('t', routing.CONCLUSION)})
+SELECT journal_id, article_id, rtrim(left(s16[1], 220)) AS problem, array_to_string({_with(generation.CONTRIBUTIONS)}, '|') AS contributions, array_to_string({_with(generation.FINDINGS)}, '|') AS findings, array_to_string({_with(generation.CONCLUSIONS)}, '|') AS conclusions FROM f""",
     "sample_ids": f"SELECT ordinal, format('{{}}_{{}}_p{{:03d}}_{{}}_{{}}_{{:06d}}', {_safe('metadata.journal_id', 'journal')}, {_safe('metadata.article_id', 'article_unknown')}, coalesce(metadata.page_index, 0), {_safe('metadata.block_id', 'page')}, coalesce(metadata.task_type, 'task'), coalesce(metadata.sample_no, 0)) AS made_id FROM samples",
     "quality_format": QUALITY,
     "sample_gate": f"""SELECT ordinal, id, CASE WHEN {FORMAT} = 'unknown' THEN 'task' WHEN coalesce(id, '') = '' THEN 'id' WHEN {FORMAT} = 'pt' AND length({clean(CORPUS)}) < 80 THEN 'short' WHEN {FORMAT} <> 'pt' AND {clean("instruction")} = '' THEN 'instruction'

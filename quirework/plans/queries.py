@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import responses
 from quirework.functions import text as T
-from quirework.operators import layout, links, pages, quality, routing, samples
+from quirework.operators import generation, layout, links, pages, quality, routing, samples
 from quirework.sources import readers
 from quirework.sources.tables import table
 from quirework.streaming import ingest
@@ -177,6 +177,34 @@ def corpus_windows(spark, d):
     return routing.corpus_windows(_pages(spark, d)).select("journal_id", "article_id", "first_page", "last_page", "n_pages", "n_chars")
 
 
+def page_sentences(spark, d):
+    """SCL-13, SCL-14: sentences of page texts."""
+    t = routing.page_text()
+    p = _pages(spark, d).withColumn("t", t)
+    return p.select("page_uid", F.size(generation.sentences(F.col("t"), 16)).alias("n"), generation.first_sentence(F.col("t"), 220).alias("first"), F.array_join(generation.sentences_with(F.col("t"), generation.CLAIMS), "|").alias("claims"))
+
+
+def method_conditions(spark, d):
+    """PRJ-23 for method conditions."""
+    return generation.method_conditions(_pages(spark, d)).select(*PAGE, *(F.array_join(c, "|").alias(c) for c in ("method_steps", "conditions", "metrics", "variables")))
+
+
+def claim_chains(spark, d):
+    """PRJ-23 for claims."""
+    return generation.claim_chains(_pages(spark, d))
+
+
+def contributions(spark, d):
+    """PRJ-23 for articles."""
+    return generation.contributions(_pages(spark, d)).select("journal_id", "article_id", "problem", *(F.array_join(c, "|").alias(c) for c in ("contributions", "findings", "conclusions")))
+
+
+def corpus_samples(spark, d):
+    """PRJ-25, SUP-4, PRD-6."""
+    p = _pages(spark, d)
+    return generation.corpus_samples(routing.corpus_windows(p).drop("win", "n_pages", "n_chars"), paragraphs(spark, d), p)
+
+
 def corpus_lines(spark, d):
     """SCL-12: cleaned page text, by length and hash."""
     c = T.clean_corpus_text(F.col("full_text"))
@@ -315,7 +343,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         valid_boxes, page_sizes, block_roles, caption_labels, column_bands, column_assignment, column_modes, reading_order, reading_order_check, page_types, visible_blocks, paragraphs, page_texts,
         article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_containment, page_jobs, sections, section_jobs, page_windows,
-        article_jobs, corpus_windows, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
+        article_jobs, corpus_windows, page_sentences, method_conditions, claim_chains, contributions, corpus_samples, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
         export_counts, evidence_blocks, parse_status, pending_pages, issue_fields, window_counts, user_sessions, page_roles_count,
     )
 }
