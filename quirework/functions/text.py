@@ -44,6 +44,15 @@ def truncate_text(c: Column, limit: int) -> Column:
     return F.rtrim(F.left(clean_text(c), F.lit(limit)))
 
 
+def truncate_at_break(c: Column, limit: int) -> Column:
+    """Text cut to `limit` characters, at its last line end or full stop if that lies in the second half."""
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    cut = F.regexp_replace(F.left(t, F.lit(limit)), r"(?U)\s+$", "")
+    tail = F.regexp_extract(cut, r"([^\n。]*)$", 1)
+    at = F.length(cut) - F.length(tail)  # length up to and with the last break, 0 without one
+    return F.when(F.length(t) <= limit, t).when(at - 1 > limit // 2, F.regexp_replace(F.left(cut, at), r"(?U)\s+$", "")).otherwise(cut)
+
+
 def caption_kind(c: Column) -> Column:
     """figure_caption, table_caption or '' of a clean text."""
     return F.when(c.rlike(FIGURE_CAPTION), F.lit("figure_caption")).when(c.rlike(TABLE_CAPTION), F.lit("table_caption")).otherwise(F.lit(""))

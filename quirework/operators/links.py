@@ -64,3 +64,44 @@ def inside_visual(boxed: DataFrame, cover: float = 0.9, share: float = 0.75) ->
     common = F.greatest(F.lit(0.0), F.least("x1", "vx1") - F.greatest("x0", "vx0")) * F.greatest(F.lit(0.0), F.least("y1", "vy1") - F.greatest("y0", "vy0"))
     bad = j.filter(common / F.col("area") >= cover).groupBy(*PAGE, "block_uid").agg(F.min(F.col("area") / F.col("varea")).alias("least"))
     return b.select(*PAGE, "block_uid", "area").join(bad, [*PAGE, "block_uid"], "left").select(*PAGE, "block_uid", "area", (F.coalesce("least", F.lit(1.0)) >= share).alias("kept"))
+
+
+def visual_links(boxed: DataFrame) -> DataFrame:
+    """One row per visual block: label, its captions and the first MAX_RELATED blocks of the page that hold the label (captions aside), as block ids in order.
+
+    The label is that of the first caption that has one, else of the block's own text; without a label nothing is related.
+    """
+    b = boxed.withColumn("t", T.clean_text("text"))
+    own = b.filter(F.col("block_type").isin(*VISUAL)).select(*PAGE, "block_uid", "block_id", T.caption_label(F.col("t")).alias("own"))
+    near = nearest_captions(boxed).join(b.select(*PAGE, F.col("block_uid").alias("caption_uid"), F.col("block_id").alias("caption_id"), T.caption_label(F.col("t")).alias("l")), [*PAGE, "caption_uid"])
+    caps = near.groupBy(*PAGE, "block_uid").agg(F.sort_array(F.collect_list(F.struct("rank", "caption_id", "caption_uid", "l"))).alias("caps"))
+    v = own.join(caps, [*PAGE, "block_uid"], "left").withColumn("caps", F.coalesce("caps", F.array().cast("array<struct<rank:int,caption_id:string,caption_uid:bigint,l:string>>")))
+    named = F.get(F.filter("caps", lambda c: c["l"] != ""), F.lit(0))["l"]
+    v = v.withColumn("label", F.coalesce(named, "own"))
+    low = lambda c: F.lower(F.regexp_replace(c, r"\s+", ""))
+    o = b.select(*PAGE, F.col("block_uid").alias("other_uid"), F.col("block_id").alias("other_id"), "block_ordinal", low(F.col("t")).alias("low"))
+    r = v.filter("label <> ''").select(*PAGE, "block_uid", "label", "caps").join(o, PAGE).filter("block_uid <> other_uid").filter(F.col("low").contains(low(F.col("label"))) & ~F.exists("caps", lambda c: c["caption_uid"] == F.col("other_uid")))
+    r = r.withColumn("n", F.row_number().over(W.partitionBy(*PAGE, "block_uid").orderBy("block_ordinal", "other_uid"))).filter(F.col("n") <= MAX_RELATED)
+    rel = r.groupBy(*PAGE, "block_uid").agg(F.sort_array(F.collect_list(F.struct("n", "other_id"))).alias("rel"))
+    j = v.join(rel, [*PAGE, "block_uid"], "left")
+    return j.select("block_uid", "label", F.transform("caps", lambda c: c["caption_id"]).alias("captions"), F.coalesce(F.transform("rel", lambda c: c["other_id"]), F.array().cast("array<string>")).alias("related"))
+
+
+def barriers(boxed: DataFrame) -> DataFrame:
+    """Visual blocks that span columns, with how many text blocks of the left and right column come between the barrier before and this one."""
+    noise = ("journal_header", "footer", "page_number", "reference", "unknown")
+    wide = F.col("block_type").isin(*VISUAL) & (F.col("column_label") == "full_width") & F.col("span_kind").isin("full_width", "cross_column") & F.col("x0").isNotNull()
+    w = W.partitionBy(*PAGE).orderBy("y0", F.coalesce(F.nullif("reading_order", F.lit(0)), F.lit(9999)), "block_ordinal")
+    a = boxed.filter(wide).select(*PAGE, "block_uid", "y0", F.coalesce(F.lag("y1").over(w), F.lit(float("-inf"))).alias("after"))
+    at = F.coalesce("y0", F.coalesce(F.nullif("reading_order", F.lit(0)), F.lit(9999)).cast("double"))
+    t = boxed.filter(~F.coalesce("semantic_role", F.lit("")).isin(*noise) & F.col("column_label").isin("left", "right")).select(*PAGE, at.alias("at"), "column_label")
+    j = a.join(t, PAGE, "left").withColumn("inside", (F.col("at") >= F.col("after")) & (F.col("at") < F.col("y0")))
+    return j.groupBy(*PAGE, "block_uid").agg(F.count(F.when(F.col("inside") & (F.col("column_label") == "left"), 1)).alias("n_left"), F.count(F.when(F.col("inside") & (F.col("column_label") == "right"), 1)).alias("n_right"))
+
+
+def crop_boxes(boxed: DataFrame) -> DataFrame:
+    """Whether each block with a box is worth a crop: large enough, of a type with content, with text that is more than a number."""
+    w, h = (F.col("x1") - F.col("x0")).cast("int"), (F.col("y1") - F.col("y0")).cast("int")
+    t = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)^\s+|\s+$", "")
+    ok = (w >= 28) & (h >= 32) & (w * h >= 3000) & ~F.coalesce("block_type", F.lit("")).isin("header", "footer", "page_number", "unknown") & (F.length(t) >= 10)
+    return boxed.filter("x0 IS NOT NULL").select("block_uid", ok.alias("kept"))

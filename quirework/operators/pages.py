@@ -150,3 +150,10 @@ def neighbours(pages: DataFrame) -> DataFrame:
     """Previous and next page of each page of a journal."""
     w = W.partitionBy("journal_id").orderBy("page_index")
     return pages.select(*PAGE, F.lag("page_index").over(w).alias("before"), F.lead("page_index").over(w).alias("after"))
+
+
+def uncertainty(modes: DataFrame, assigned: DataFrame) -> DataFrame:
+    """How many notes of uncertainty a page gets: one for two columns, one more if a visual block spans them."""
+    wide = assigned.groupBy(*PAGE).agg(F.bool_or(F.coalesce(F.col("block_type").isin("figure", "table", "formula") & (F.col("col_label") == "full_width"), F.lit(False))).alias("wide"))
+    two = F.col("mode").contains("two_column")
+    return modes.join(wide, PAGE).select(*PAGE, F.when(two & F.col("wide"), 2).when(two, 1).otherwise(0).alias("n_notes"))

@@ -70,9 +70,11 @@ def section_jobs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
 def page_windows(pages: DataFrame) -> DataFrame:
     """Windows of up to WINDOW pages forward in one run of an article, trainable pages of them, two and more with MIN_PAGE characters."""
     w = W.partitionBy("journal_id").orderBy("page_index")
-    p = pages.withColumn("t", page_text()).withColumn("ok", (F.col("t") != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE))
+    t = page_text()
+    # Only lengths enter the window: one journal's pages may be many.
+    p = pages.select(*PAGE, "article_id", F.length(t).alias("n"), ((t != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE)).alias("ok"))
     p = p.withColumn("run", F.sum((~F.col("article_id").eqNullSafe(F.lag("article_id").over(w))).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    ahead = F.collect_list(F.struct("page_index", "run", "ok", F.length("t").alias("n"))).over(w.rowsBetween(0, WINDOW - 1))
+    ahead = F.collect_list(F.struct("page_index", "run", "ok", "n")).over(w.rowsBetween(0, WINDOW - 1))
     inside = F.filter(ahead, lambda x: (x["run"] == F.col("run")) & x["ok"])
     p = p.withColumn("win", inside)
     joined = F.aggregate("win", F.lit(0), lambda a, x: a + x["n"]) + F.size("win") - 1

@@ -242,6 +242,24 @@ FROM b v JOIN b c USING (journal_id, page_index) WHERE v.block_type IN ('figure'
 SELECT block_uid, caption_uid, rank FROM (SELECT *, row_number() OVER (PARTITION BY block_uid ORDER BY gap, block_ordinal, caption_uid)::INT AS rank FROM x WHERE over_it >= 0.2) WHERE rank <= 2""",
     "same_label_blocks": f"""WITH {BLOCKS}, t AS (SELECT *, {clean("text")} AS t FROM b), l AS (SELECT *, lower(regexp_replace(regexp_extract(t, {q(T.LABEL)}, 1), '\\s+', '', 'g')) AS label FROM t WHERE block_type IN ('figure', 'table', 'formula'))
 SELECT block_uid, label, other_uid, rank FROM (SELECT l.block_uid, l.label, t.block_uid AS other_uid, row_number() OVER (PARTITION BY l.block_uid ORDER BY t.block_ordinal, t.block_uid)::INT AS rank FROM l JOIN t USING (journal_id, page_index) WHERE l.label <> '' AND l.block_uid <> t.block_uid AND contains(lower(regexp_replace(t.t, '\\s+', '', 'g')), l.label)) WHERE rank <= 8""",
+    "visual_links": f"""WITH {BLOCKS}, t AS (SELECT *, {clean("text")} AS t, trim(regexp_extract({clean("text")}, {q(T.LABEL)}, 1)) AS lab FROM b),
+x AS (SELECT v.block_uid, c.block_uid AS cu, c.block_id AS cid, c.lab, c.block_ordinal, least(abs(c.y0 - v.y1), abs(v.y0 - c.y1)) AS gap FROM t v JOIN t c USING (journal_id, page_index) WHERE v.block_type IN ('figure', 'table', 'formula') AND v.x0 IS NOT NULL AND c.x0 IS NOT NULL AND c.semantic_role IN ('figure_caption', 'table_caption') AND c.block_uid <> v.block_uid AND c.t <> ''
+  AND greatest(0.0, least(v.x1, c.x1) - greatest(v.x0, c.x0)) / greatest(1.0, least(v.x1 - v.x0, c.x1 - c.x0)) >= 0.2),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY block_uid ORDER BY gap, block_ordinal, cu) AS rank FROM x) WHERE rank <= 2),
+g AS (SELECT block_uid, string_agg(cid, '|' ORDER BY rank) AS captions, arg_min(lab, rank) FILTER (lab <> '') AS lab FROM k GROUP BY ALL),
+vl AS (SELECT t.journal_id, t.page_index, t.block_uid, coalesce(g.lab, t.lab) AS label, coalesce(captions, '') AS captions FROM t LEFT JOIN g USING (block_uid) WHERE t.block_type IN ('figure', 'table', 'formula')),
+r AS (SELECT vl.block_uid, t.block_id, row_number() OVER (PARTITION BY vl.block_uid ORDER BY t.block_ordinal, t.block_uid) AS n FROM vl JOIN t USING (journal_id, page_index) WHERE label <> '' AND vl.block_uid <> t.block_uid AND contains(lower(regexp_replace(t.t, '\\s+', '', 'g')), lower(regexp_replace(label, '\\s+', '', 'g'))) AND NOT EXISTS (SELECT 1 FROM k WHERE k.block_uid = vl.block_uid AND k.cu = t.block_uid)),
+rg AS (SELECT block_uid, string_agg(block_id, '|' ORDER BY n) AS related FROM r WHERE n <= 8 GROUP BY ALL)
+SELECT vl.block_uid, label, captions, coalesce(related, '') AS related FROM vl LEFT JOIN rg USING (block_uid)""",
+    "barriers": f"""WITH {BLOCKS}, a AS (SELECT *, coalesce(lag(y1) OVER (PARTITION BY journal_id, page_index ORDER BY y0, {RO}, block_ordinal), '-Infinity'::DOUBLE) AS aft FROM b WHERE block_type IN ('figure', 'table', 'formula') AND column_label = 'full_width' AND span_kind IN ('full_width', 'cross_column') AND x0 IS NOT NULL)
+SELECT a.block_uid, count(*) FILTER (t.column_label = 'left') AS n_left, count(*) FILTER (t.column_label = 'right') AS n_right FROM a LEFT JOIN b t ON t.journal_id = a.journal_id AND t.page_index = a.page_index AND coalesce(t.semantic_role, '') NOT IN ('journal_header', 'footer', 'page_number', 'reference', 'unknown')
+AND coalesce(t.y0, coalesce(nullif(t.reading_order, 0), 9999)::DOUBLE) >= a.aft AND coalesce(t.y0, coalesce(nullif(t.reading_order, 0), 9999)::DOUBLE) < a.y0 GROUP BY a.block_uid""",
+    "crop_boxes": rf"""WITH {BLOCKS} SELECT block_uid, trunc(x1 - x0)::INT >= 28 AND trunc(y1 - y0)::INT >= 32 AND trunc(x1 - x0)::INT * trunc(y1 - y0)::INT >= 3000 AND coalesce(block_type, '') NOT IN ('header', 'footer', 'page_number', 'unknown') AND length(regexp_replace(coalesce(text, ''), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')) >= 10 AS kept FROM b WHERE x0 IS NOT NULL""",
+    "uncertainty_notes": f"""WITH {ASSIGNED}, mo AS (SELECT journal_id, page_index, count(DISTINCT CASE WHEN ci >= 0 THEN ci END) = 2 AS two, bool_or(block_type IN ('figure', 'table', 'formula') AND col_label2 = 'full_width') AS wide FROM asg GROUP BY ALL)
+SELECT journal_id, page_index, CASE WHEN two AND coalesce(wide, false) THEN 2 WHEN two THEN 1 ELSE 0 END AS n_notes FROM mo""",
+    "truncated_texts": rf"""WITH {PAGES}, s AS (SELECT page_uid, rtrim(left({clean("full_text")}, 180)) AS short, regexp_replace(coalesce(full_text, ''), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS t FROM p), c AS (SELECT *, regexp_replace(left(t, 400), '[\s\p{{Z}}]+$', '') AS c FROM s),
+k AS (SELECT *, length(c) - length(regexp_extract(c, '([^
+。]*)\z', 1)) AS brk FROM c) SELECT page_uid, short, CASE WHEN length(t) <= 400 THEN t WHEN brk - 1 > 200 THEN regexp_replace(left(c, brk), '[\s\p{{Z}}]+$', '') ELSE c END AS cut FROM k""",
     "visual_containment": f"""WITH {BLOCKS}, a AS (SELECT *, (x1 - x0) * (y1 - y0) AS area FROM b WHERE x0 IS NOT NULL)
 SELECT a.block_uid, coalesce(min(CASE WHEN greatest(0.0, least(a.x1, v.x1) - greatest(a.x0, v.x0)) * greatest(0.0, least(a.y1, v.y1) - greatest(a.y0, v.y0)) / a.area >= 0.9 THEN a.area / v.area END), 1.0) >= 0.75 AS kept
 FROM a LEFT JOIN a v ON v.journal_id = a.journal_id AND v.page_index = a.page_index AND v.block_type IN ('figure', 'table', 'formula') AND v.block_uid <> a.block_uid AND v.area > a.area GROUP BY a.block_uid""",

@@ -142,6 +142,32 @@ def subfigure_groups(spark, d):
     return g.withColumn("members", F.array_join("members", "|")).withColumn("marks", F.array_join("marks", "|"))
 
 
+def visual_links(spark, d):
+    """SUP-1, SUP-2, JN-3, JN-5."""
+    return links.visual_links(_blocks(spark, d)).select("block_uid", "label", F.array_join("captions", "|").alias("captions"), F.array_join("related", "|").alias("related"))
+
+
+def barriers(spark, d):
+    """JN-13, WIN-13."""
+    return links.barriers(_blocks(spark, d)).select("block_uid", "n_left", "n_right")
+
+
+def crop_boxes(spark, d):
+    """PRD-7."""
+    return links.crop_boxes(_blocks(spark, d))
+
+
+def uncertainty_notes(spark, d):
+    """PRJ-12."""
+    a = _assigned(spark, d)
+    return pages.uncertainty(layout.column_modes(a), a)
+
+
+def truncated_texts(spark, d):
+    """SCL-2, SCL-11."""
+    return _pages(spark, d).select("page_uid", T.truncate_text(F.col("full_text"), 180).alias("short"), T.truncate_at_break(F.col("full_text"), 400).alias("cut"))
+
+
 def visual_containment(spark, d):
     """PRD-10, JN-14."""
     return links.inside_visual(_blocks(spark, d)).select("block_uid", "kept")
@@ -342,7 +368,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         valid_boxes, page_sizes, block_roles, caption_labels, column_bands, column_assignment, column_modes, reading_order, reading_order_check, page_types, visible_blocks, paragraphs, page_texts,
-        article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_containment, page_jobs, sections, section_jobs, page_windows,
+        article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_links, barriers, crop_boxes, uncertainty_notes, truncated_texts, visual_containment, page_jobs, sections, section_jobs, page_windows,
         article_jobs, corpus_windows, page_sentences, method_conditions, claim_chains, contributions, corpus_samples, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
         export_counts, evidence_blocks, parse_status, pending_pages, issue_fields, window_counts, user_sessions, page_roles_count,
     )
