@@ -19,9 +19,10 @@ WORDS = {1: "single", 2: "two", 3: "three", 4: "four", 5: "five", 6: "six"}
 
 
 def deliver_once(blocks: DataFrame) -> DataFrame:
-    """The first delivery of each block_uid, told within its page so that later page windows need no further shuffle."""
+    """The first delivery of each block_uid, told within its page so that later page windows need no further shuffle. NULL ids of a page are one key."""
     w = W.partitionBy(*PAGE).orderBy("block_uid", F.col("ingested_at").asc_nulls_last())
-    return blocks.withColumn("_before", F.lag("block_uid").over(w)).filter(~F.col("block_uid").eqNullSafe(F.col("_before"))).drop("_before")
+    again = (F.row_number().over(w) > 1) & F.col("block_uid").eqNullSafe(F.lag("block_uid").over(w))
+    return blocks.withColumn("_again", again).filter(~F.col("_again")).drop("_again")
 
 
 def boxes(blocks: DataFrame) -> DataFrame:

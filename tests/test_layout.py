@@ -128,6 +128,8 @@ def test_delivered_once(spark):
     df = spark.createDataFrame(rows + [(*r[:-1], T0 + dt.timedelta(days=30)) for r in rows[:3]], SCHEMA)
     assert layout.deliver_once(df).count() == len(rows)
     assert layout.deliver_once(df.limit(0)).count() == 0
+    nameless = df.withColumn("block_uid", F.lit(None).cast("long")).withColumn("journal_id", F.lit(None).cast("string"))
+    assert layout.deliver_once(nameless).count() == 1
 
 
 def test_one_shuffle_serves_page_windows(spark):
