@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -330,9 +331,15 @@ def paragraphs(text: str) -> str:
     return out
 
 
-def _apply(shared, first: bool, with_text: bool):
+def _apply(shared, first: bool, hyphens: tuple[int, int] | None, with_text: bool):
+    """One pass: edge lines and unreadable signs if it is the first, breaks that fall in part hyphens[0] of hyphens[1], and the corrections that it takes along."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fix: Corrections = Corrections(*shared.value)
+        fix = Corrections(*shared.value)
+
+        def mine(one: str, two: str) -> bool:
+            return hyphens is not None and zlib.crc32(f"{one}\t{two}".encode()) % hyphens[1] == hyphens[0] and (one, two) not in fix.hyphens
+
         for b in batches:
             texts, kinds = [], []
             for text, name, page, cover, had in zip(b["text"], b["name"], b["page"], b["cover"], b["kinds"]):
@@ -341,11 +348,10 @@ def _apply(shared, first: bool, with_text: bool):
                     text, k = edge_lines(_light(text), name or "", page, cover)
                     if _UNREADABLE.search(text):
                         k.add("misread")
-                    if any(m in text for m in MARK):
-                        for one, two in breaks(text):
-                            if (one, two) not in fix.hyphens:
-                                k.add("hyphen")
-                        text = _BREAK.sub(lambda m: m[0] if (m[1].lower(), m[2].lower()) in fix.hyphens else m[1], text)
+                if hyphens is not None and any(m in text for m in MARK):
+                    if any(mine(*pair) for pair in breaks(text)):
+                        k.add("hyphen")
+                    text = _BREAK.sub(lambda m: m[1] if mine(m[1].lower(), m[2].lower()) else m[0], text)
                 texts.append(text)
                 kinds.append(k)
             for i, (text, wrong) in enumerate(zip(texts, fix.wrong_signs(texts))):
@@ -353,13 +359,11 @@ def _apply(shared, first: bool, with_text: bool):
                     kinds[i].add("misread")
                     if with_text:
                         texts[i] = text = fix.repair_signs(text, wrong)
-                if fix.words:
-                    bad = {w for w in _words(text.lower()) if w in fix.words}
-                    if bad:
-                        kinds[i].add("misread")
-                        if with_text:
-                            for w in bad:
-                                texts[i] = re.sub(rf"(?<![^\W_]){re.escape(w)}(?![^\W_])", lambda m: fix.words[m[0].lower()].capitalize() if m[0][:1].isupper() else fix.words[m[0].lower()], texts[i], flags=re.I)
+                bad = {w for w in _words(text.lower()) if w in fix.words} if fix.words else ()
+                if bad:
+                    kinds[i].add("misread")
+                    for w in bad if with_text else ():
+                        texts[i] = re.sub(rf"(?<![^\W_]){re.escape(w)}(?![^\W_])", lambda m: fix.words[m[0].lower()].capitalize() if m[0][:1].isupper() else fix.words[m[0].lower()], texts[i], flags=re.I)
             b["text"] = texts if with_text else ""
             b["kinds"] = [sorted(k) for k in kinds]
             yield b[["rec", "rec_uid", "part", "name", "page", "cover", "kinds", "text"]]
@@ -375,22 +379,33 @@ def repair(records: DataFrame, with_text: bool = True, block: int = BLOCK) -> Da
 
     `records`: rec, rec_uid, part, text, name (journal), page (number), cover (whether it is a cover, whose title is no header).
     NULL and empty texts give no row; a NULL name or page means that no header or page number can be told; repeated rows come again.
-    Corrections are collected in blocks of at most `block` rows; each block is one pass over the texts.
+    Corrections are collected in blocks of about `block` rows at most; beyond one block each takes two passes over the texts.
     """
     rows = records.filter("text <> ''").select("rec", F.col("rec_uid").cast("bigint").alias("rec_uid"), "part", "text", "name", F.col("page").cast("int").alias("page"), F.coalesce("cover", F.lit(False)).alias("cover"))
     stats = statistics(rows)
     spark = records.sparkSession
     words, signs, hyphens = checkpoint(word_corrections(stats)), checkpoint(sign_corrections(stats)), checkpoint(kept_hyphens(stats))
-    most = max(words.count(), signs.count(), hyphens.count())
-    parts = max(1, -(-most // block))
+    parts = max(1, -(-max(words.count(), signs.count(), hyphens.count()) // block))
     state = rows.withColumn("kinds", F.array().cast("array<string>"))
-    for i in range(parts):
-        own = lambda d, c: d if parts == 1 else d.filter(F.pmod(F.xxhash64(c), F.lit(parts)) == i)  # noqa: E731, B023
-        w = {r[0]: r[1] for r in own(words, "wrong").collect()}
-        s = own(signs, "sign").collect()
-        h = frozenset((r[0], r[1]) for r in hyphens.collect()) if i == 0 else frozenset()
+
+    def take(d: DataFrame, key: F.Column, i: int) -> list:
+        return d.filter(F.crc32(key) % parts == i).collect() if parts > 1 else d.collect()
+
+    def go(state: DataFrame, first: bool, i: int, joins: bool, corrects: bool) -> DataFrame:
+        w = {r[0]: r[1] for r in take(words, F.col("wrong").cast("binary"), i)} if corrects else {}
+        s = take(signs, F.col("sign").cast("string").cast("binary"), i) if corrects else []
+        h = frozenset((r[0], r[1]) for r in take(hyphens, F.concat_ws("\t", "first", "second").cast("binary"), i)) if joins else frozenset()
         shared = spark.sparkContext.broadcast((w, np.array([r[0] for r in s], dtype=np.int64), np.array([r[1] for r in s], dtype=np.int64), h))
-        state = state.select("rec", "rec_uid", "part", "name", "page", "cover", "kinds", "text").mapInPandas(_apply(shared, i == 0, with_text or parts > 1), STATE)
+        cols = state.select("rec", "rec_uid", "part", "name", "page", "cover", "kinds", "text")
+        return cols.mapInPandas(_apply(shared, first, (i, parts) if joins else None, with_text or parts > 1), STATE)
+
+    if parts == 1:
+        state = go(state, True, 0, True, True)
+    else:  # all words are whole before any is corrected
+        for i in range(parts):
+            state = go(state, i == 0, i, True, False)
+        for i in range(parts):
+            state = go(state, False, i, False, True)
     out = state.select("rec", "rec_uid", "part", "kinds", "text")
     if not with_text:
         return out
