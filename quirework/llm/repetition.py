@@ -3,8 +3,9 @@
 For each text the operator measures what a public vocabulary says of it: characters per token (fertility), the
 share of byte-fallback tokens, the entropy of its tokens and that of pairs of neighbouring tokens. In a text
 that says nothing twice nearly every pair is new and the pair entropy reaches log2 of the number of pairs; the
-gap to that bound (`pair_deficit`, bits) grows with what is said again. Texts whose gap is in the rejection band
-are counted exactly: the share of character runs that occurred before.
+gap to that bound (`pair_deficit`, bits) grows with what is said again. These figures weigh tokens, and a repeat in
+few long tokens hardly moves them, so they decide nothing about repetition: the share of character runs that occurred
+before is counted exactly for every text.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ MODEL = "piece_bpe_32k.model"
 RUN = 15
 MIN_RUNS = 20
 SHARE = 0.3
-#: Texts with a smaller gap (bits) hold no SHARE of repeated runs: if a share s of the pairs comes again, the gap is about 2s, here 0.6.
-BAND = 0.25
 CHUNK = 1000
 
 PROFILE = "id string, field_name string, script string, n_chars int, n_tokens int, chars_per_token double, byte_share double, token_entropy double, token_deficit double, pair_deficit double, repeated_share double"
@@ -82,11 +81,11 @@ def measure(texts: list[str], directory: str) -> pd.DataFrame:
     return pd.DataFrame({"n_chars": chars, "n_tokens": n, "chars_per_token": chars / np.maximum(n, 1), "byte_share": byte, "token_entropy": np.log2(np.maximum(n, 1)) - token, "token_deficit": token, "pair_deficit": pair})
 
 
-def profile(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str = TOKENIZER_DIR, band: float = BAND) -> DataFrame:
+def profile(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """One row per row of `df` and non-empty field, columns as in PROFILE.
 
-    repeated_share is counted where pair_deficit reaches `band`, else NULL (below SHARE). NULL and empty fields give no
-    row; equal texts in two fields of a row are measured once; repeated rows come again; other columns are ignored.
+    repeated_share is counted for every text, 0 with fewer than MIN_RUNS runs. NULL and empty fields give no row;
+    equal texts in two fields of a row are measured once; repeated rows come again; other columns are ignored.
     """
     cols = [f"_f{i}" for i in range(len(fields))]
     src = df.select(F.col(id_col).cast("string").alias("_id"), *(F.col(f).alias(c) for f, c in zip(fields, cols)))
@@ -108,7 +107,7 @@ def profile(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str =
                 texts = list(place)
                 m = measure(texts, tokenizer_dir)
                 m["script"] = [script_of(t) for t in texts]
-                m["repeated_share"] = [repeated_share(t) if d >= band else None for t, d in zip(texts, m["pair_deficit"])]
+                m["repeated_share"] = [repeated_share(t) for t in texts]
                 out = m.iloc[which].reset_index(drop=True)
                 out["id"], out["field_name"] = ids, names
                 yield out[_COLUMNS]

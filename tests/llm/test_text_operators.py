@@ -156,6 +156,18 @@ def test_band_loses_no_case(spark):
     assert repetition.profile(df.limit(0), "id", ["answer"]).count() == 0
 
 
+def test_repeats_in_few_long_tokens_are_found(spark):
+    """Runs of one sign are few tokens and leave nearly no gap of the pair entropy, yet they are repeated characters."""
+    rng = random.Random(12)
+    base = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(100)) for _ in range(10)]
+    texts = [b + c * 90 for b in base for c in "-.=_"] + [c * 40 for c in "-.=*/"] + [" ".join(base[0][:40] * 2)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts + base)], "id string, answer string")
+    got = repetition.profile(df, "id", ["answer"]).collect()
+    assert {int(r.id): r.repeated_share for r in got} == {i: repetition.repeated_share(t) for i, t in enumerate(texts + base)}
+    assert {int(r.id) for r in got if r.repeated_share >= repetition.SHARE} == set(range(len(texts)))
+    assert min(r.pair_deficit for r in got if int(r.id) < len(texts)) < 0.25
+
+
 # Pairs
 
 
