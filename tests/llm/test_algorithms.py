@@ -185,3 +185,40 @@ def test_tolerant_overlap():
     exact, tolerant, wrong, at, start = leakage.compare(doc, item, 2)
     assert exact == 30 and tolerant == 60 and wrong == 1 and (at, start) == (2, 0)
     assert leakage.compare(doc, item, 100) == (0, 0, 0, 0, 0)
+
+
+def test_masks_miss_no_tolerant_overlap():
+    """The fewest substitutions among n tokens that leave no window whole are more than a tenth, for n from 40 to 79; longer ones are made of these."""
+    masks = [[x + k for x in (*leakage.SHARED, last) for k in range(leakage.BLOCK)] for last in leakage.LAST]
+    states = 1 << max(leakage.SPANS)  # the last tokens, 1 where equal, the newest lowest
+    hit = np.zeros(states, bool)
+    for m in masks:
+        bits = sum(1 << (m[-1] - k) for k in m)
+        hit |= (np.arange(states) & bits) == bits
+    cost = np.full(states, 999)
+    cost[0] = 0
+    for n in range(1, 80):
+        half = np.minimum(cost[: states // 2], cost[states // 2 :])
+        cost = np.column_stack([half + 1, half]).ravel()
+        cost[hit] = 999
+        assert n < 40 or cost.min() > n // 10
+
+
+def test_tolerant_overlaps_against_brute_force(spark):
+    """All pairs with a tolerant overlap of 40, found by both ways of probing; whole diagonals are compared for the truth."""
+    rng = random.Random(12)
+    say = lambda n: [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)]
+    items = [(i, "".join(say(60))) for i in range(8)]
+    docs = []
+    for d in range(120):
+        x = list(items[d % 8][1])
+        at, n = (0, 40) if d % 3 == 0 else (20, 40) if d % 3 == 1 else (0, 60)
+        for k in rng.sample(range(at + 1, at + n - 1), n // 10):
+            x[k] = "9"
+        docs.append((d, "".join(say(d % 7) + x[at : at + n] + say(d % 5))))
+    best = lambda t, x: max(leakage.compare(leakage.codes(t), leakage.codes(x), s)[1] for s in range(-len(x), len(t)))
+    want = {(d, i): n for d, t in docs for i, x in items if (n := best(t, x)) >= 40}
+    assert len(want) >= 120
+    dd, ii = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
+    assert {(r.doc_id, r.item_id): r.tolerant_run for r in leakage.overlaps(dd, ii).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in leakage._overlaps_joined(dd, ii).collect()} == set(want)
