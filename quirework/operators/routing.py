@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import text as T
 from quirework.operators.layout import PAGE
+from quirework.operators.links import SUBFIGURES_PER_CROP, VISUAL, subfigure_groups
 from quirework.operators.pages import LOW_VALUE, TRAINABLE, order_of
 
 # Words that route a page.
@@ -18,6 +19,8 @@ UNCONTROLLED = ("journal_header", "footer", "page_number", "reference")
 MIN_PAGE, MIN_BLOCK, MIN_SECTION, MIN_ARTICLE, MIN_CORPUS = 120, 12, 220, 800, 300
 WINDOW, ARTICLE_WINDOW, CORPUS_PAGES, CORPUS_CHARS = 3, 8, 2, 3600
 SECTION_TASK, SCOPE_TASK = "section_keypoint_summary", "section_heading_scope_alignment"
+ORDER_TASK, VISUAL_TASK = "two_column_reading_order_reconstruction", "figure_table_formula_to_text"
+TEXT_TYPES = ("title", "section_title", "text", "figure_caption", "table_caption", "list")
 
 
 def holds(text: Column, words: tuple[str, ...]) -> Column:
@@ -33,21 +36,43 @@ def _jobs(df: DataFrame, task: str, cond: Column) -> DataFrame:
     return df.filter(cond).select(*PAGE, F.lit(task).alias("task_type"))
 
 
+def _trainable(pages: DataFrame) -> DataFrame:
+    return pages.filter((page_text() != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE))
+
+
+def _unordered() -> Column:
+    """Whether columns or notes alone ask for the reading order."""
+    return F.col("column_mode").rlike("(two|three|four|five|six)_column") | (F.size("uncertainty_notes") > 0)
+
+
 def page_jobs(pages: DataFrame) -> DataFrame:
-    """Jobs of whole pages: layout, metadata, reading order, method conditions, claim chain. One scan, one array of tasks per page."""
+    """Jobs of whole pages: layout, metadata, reading order by columns or notes (by visual links: linked_page_jobs), method conditions, claim chain. One scan, one array of tasks per page."""
     p = pages.withColumn("t", page_text())
     trainable = (F.col("t") != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE)
-    multi = F.col("column_mode").rlike("(two|three|four|five|six)_column")
     tasks = F.array_compact(F.array(
         F.when(~F.coalesce(F.col("page_type"), F.lit("")).isin("blank", "advertisement_or_notice"), F.lit("page_to_journal_layout_description")),
         F.when(F.col("page_type") == "article_first_page", F.lit("article_metadata_extraction")),
-        F.when(multi | (F.size("uncertainty_notes") > 0), F.lit("two_column_reading_order_reconstruction")),
+        F.when(_unordered(), F.lit(ORDER_TASK)),
         F.when(trainable & holds(F.col("t"), METHOD), F.lit("method_experiment_condition_extraction")),
         F.when(trainable & holds(F.col("t"), CLAIM), F.lit("evidence_to_claim_chain")),
     ))
     return p.select(*PAGE, F.explode(tasks).alias("task_type"))
 
 
+def linked_page_jobs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """Reading-order jobs of the pages that have visual links but neither columns nor notes, which page_jobs leaves out. Each visual block has a link, its own or its group's."""
+    linked = blocks.filter(F.col("block_type").isin(*VISUAL)).select(*PAGE)
+    return _jobs(pages.join(linked, PAGE, "left_semi"), ORDER_TASK, ~F.coalesce(_unordered(), F.lit(False)))
+
+
+def visual_jobs(boxed: DataFrame, pages: DataFrame) -> DataFrame:
+    """One job for each figure, table and formula of a trainable page; of a group of subfigures only the first of each part has one."""
+    groups = subfigure_groups(boxed.filter("block_type = 'figure' AND x0 IS NOT NULL"))
+    others = groups.select(*PAGE, "target", F.explode(F.slice("members", 2, SUBFIGURES_PER_CROP)).alias("block_id")).filter("block_id <> '' AND block_id <> target").select(*PAGE, "block_id")
+    v = boxed.filter(F.col("block_type").isin(*VISUAL)).select(*PAGE, "block_uid", "block_id", "block_type")
+    return v.join(_trainable(pages).select(*PAGE), PAGE, "left_semi").join(others, [*PAGE, "block_id"], "left_anti").select(*PAGE, "block_uid", "block_id", "block_type", F.lit(VISUAL_TASK).alias("task_type"))
+
+
 def sections(blocks: DataFrame) -> DataFrame:
     """Each section heading with the text it controls: the blocks up to the next heading of its page, margins and references aside."""
     page = W.partitionBy(*PAGE).orderBy(order_of(), "block_ordinal")
@@ -60,13 +85,23 @@ def sections(blocks: DataFrame) -> DataFrame:
 
 
 def section_jobs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
-    """Scope and summary jobs of section headings on trainable pages."""
-    p = pages.filter((page_text() != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE)).select(*PAGE)
+    """Scope and summary jobs of section headings on trainable pages; pages without headings: unheaded_page_jobs."""
+    p = _trainable(pages).select(*PAGE)
     s = sections(blocks).join(p, PAGE, "left_semi")
     tasks = F.array_compact(F.array(F.when(F.col("n_chars") >= MIN_BLOCK, F.lit(SCOPE_TASK)), F.when(F.col("n_chars") >= MIN_SECTION, F.lit(SECTION_TASK))))
     return s.select(*PAGE, "heading_uid", "n_chars", F.explode(tasks).alias("task_type"))
 
 
+def unheaded_page_jobs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """Summary jobs of trainable pages of MIN_PAGE characters without any section heading whose text blocks, of MIN_BLOCK characters each, have MIN_SECTION together."""
+    p = _trainable(pages).filter(F.length(T.clean_text("full_text")) >= MIN_PAGE).select(*PAGE)
+    b = blocks.select(*PAGE, "block_type", "semantic_role", F.length(T.clean_text("text")).alias("n"))
+    part = F.when(F.col("block_type").isin(*TEXT_TYPES) & (F.col("n") >= MIN_BLOCK), F.col("n") + 1)
+    headed = F.coalesce((F.col("semantic_role") == "section_heading") & (F.col("n") > 0), F.lit(False))
+    g = b.groupBy(*PAGE).agg(F.max(headed).alias("headed"), (F.sum(part) - 1).cast("int").alias("n_chars")).filter(~F.col("headed") & (F.col("n_chars") >= MIN_SECTION))
+    return g.join(p, PAGE, "left_semi").select(*PAGE, "n_chars", F.lit(SECTION_TASK).alias("task_type"))
+
+
 def page_windows(pages: DataFrame) -> DataFrame:
     """Windows of up to WINDOW pages forward in one run of an article, trainable pages of them, two and more with MIN_PAGE characters."""
     w = W.partitionBy("journal_id").orderBy("page_index")

@@ -174,20 +174,35 @@ def visual_containment(spark, d):
 
 
 def page_jobs(spark, d):
-    """RTE-1, 2, 3, 7, 8, PRD-4, PRD-5."""
+    """RTE-1, 2, 3 (by columns and notes), 7, 8, PRD-4, PRD-5."""
     return routing.page_jobs(_pages(spark, d))
 
 
+def linked_page_jobs(spark, d):
+    """RTE-3 by visual links, beyond the pages of page_jobs."""
+    return routing.linked_page_jobs(_blocks(spark, d), _pages(spark, d))
+
+
+def visual_jobs(spark, d):
+    """RTE-6."""
+    return routing.visual_jobs(_blocks(spark, d), _pages(spark, d))
+
+
 def sections(spark, d):
     """JN-7, WIN-10."""
     return routing.sections(_blocks(spark, d)).select("heading_uid", "n_blocks", "n_chars")
 
 
 def section_jobs(spark, d):
-    """RTE-4, RTE-5."""
+    """RTE-4, RTE-5 of headings."""
     return routing.section_jobs(_blocks(spark, d), _pages(spark, d)).select("heading_uid", "task_type")
 
 
+def unheaded_page_jobs(spark, d):
+    """RTE-5 of pages without headings."""
+    return routing.unheaded_page_jobs(_blocks(spark, d), _pages(spark, d))
+
+
 def page_windows(spark, d):
     """WIN-9, RTE-9."""
     return routing.page_windows(_pages(spark, d)).select(*PAGE, F.array_join(F.transform("window", lambda x: x.cast("string")), "|").alias("window"))
@@ -368,7 +383,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         valid_boxes, page_sizes, block_roles, caption_labels, column_bands, column_assignment, column_modes, reading_order, reading_order_check, page_types, visible_blocks, paragraphs, page_texts,
-        article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_links, barriers, crop_boxes, uncertainty_notes, truncated_texts, visual_containment, page_jobs, sections, section_jobs, page_windows,
+        article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_links, barriers, crop_boxes, uncertainty_notes, truncated_texts, visual_containment, page_jobs, linked_page_jobs, visual_jobs, sections, section_jobs, unheaded_page_jobs, page_windows,
         article_jobs, corpus_windows, page_sentences, method_conditions, claim_chains, contributions, corpus_samples, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
         export_counts, evidence_blocks, parse_status, pending_pages, issue_fields, window_counts, user_sessions, page_roles_count,
     )

@@ -117,3 +117,34 @@ def test_article_metadata(spark):
     r = pages.article_metadata(b, p).first()
     assert (r.title, r.abstract, r.keywords, r.doi, r.confidence) == ("题目", "摘要：内容", ["甲", "乙", "丙"], "10.1234/ab-c", 0.82)
     assert pages.article_metadata(b.filter(F.col("semantic_role") != "article_title"), p).first().confidence == 0.45
+
+
+def test_jobs_of_visuals_links_and_pages_without_headings(spark):
+    P = "journal_id string, page_index int, page_type string, column_mode string, uncertainty_notes array<string>, full_text string, visible_text string"
+    B = "journal_id string, page_index int, block_uid long, block_id string, block_type string, semantic_role string, column_label string, block_ordinal int, text string, x0 double, top double, left double, reading_order int"
+    long = "字" * 130
+    kinds = {1: ("article_body", "one_column", []), 2: ("article_body", "two_column", []), 3: ("references", "one_column", []), 4: ("article_body", "one_column", None), 5: ("article_body", None, ["x"]), 6: ("article_body", None, None), 7: (None, "one_column", [])}
+    p = spark.createDataFrame([("j", i, *k, "短" if i == 6 else long, None) for i, k in kinds.items()], P)
+    rows = []
+
+    def block(page, kind, text, role="body", box=0.0):
+        n = len(rows) + 1
+        rows.append(("j", page, n, f"b{n:03d}", kind, role, "left", n, text, box, float(n), 0.0, n))
+        return n
+
+    visuals = [block(1, "figure", "(a) 流速"), block(1, "figure", "(b) 压力 图 8 结果"), block(1, "table", None), block(1, "formula", "E", box=None)]
+    visuals += [block(2, "figure", t) for t in ("(a) x", "(b) y", "(c) z 图 11")] + [block(5, "table", "")]
+    block(3, "figure", "图 1")
+    for page in (1, 3, 4, 6, 7):  # two parts of 110 with a blank between are 221
+        block(page, "text", "文" * 110)
+        block(page, "list", " " + "文" * 110 + "\n")
+    block(2, "text", "文" * 219)
+    block(2, "text", "短")  # too short to count
+    block(4, "section_title", "1 方法", role="section_heading")
+    block(7, "section_title", " ", role="section_heading")  # without text it's no heading
+    b = spark.createDataFrame(rows, B)
+    assert sorted(r.block_uid for r in routing.visual_jobs(b, p).collect()) == sorted(set(visuals) - {visuals[1], visuals[5]})
+    assert sorted((r.page_index, r.task_type) for r in routing.linked_page_jobs(b, p).collect()) == [(1, routing.ORDER_TASK), (3, routing.ORDER_TASK)]
+    assert sorted((r.page_index, r.n_chars) for r in routing.unheaded_page_jobs(b, p).collect()) == [(1, 221), (7, 221)]
+    for f in (routing.visual_jobs, routing.linked_page_jobs, routing.unheaded_page_jobs):
+        assert f(b.limit(0), p).count() == 0
