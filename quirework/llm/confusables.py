@@ -118,6 +118,24 @@ def _forms(text: str) -> tuple[str, bool]:
     return "".join(out), any_
 
 
+def _doubted(text: str) -> list[str]:
+    """The whole-script tokens of `text` that have a Latin double, of scripts without any other letter in it."""
+    if not re.search(r"[\u0370-\u058f]", text):
+        return []
+    words = [t for w in _WORD.findall(text) for t in re.findall(r"[^\u2e80-\u9fff\uf900-\ufaff]+", w)]
+    firm = {script(c) for w in words if skeleton(w) is None for c in w if script(c) in ("CYRILLIC", "GREEK", "ARMENIAN") and c not in SYMBOLS}
+    return [w for w in words if skeleton(w) and script(w[0]) not in firm]
+
+
+def respell(text: str, words: set[str]) -> str:
+    """`text` (in one form) with each doubtful token whose Latin double is one of `words` in its Latin spelling; marks on its letters stay."""
+    text = unicodedata.normalize("NFD", text)
+    doubted = {w for w in _doubted(text) if skeleton(w) in words}
+    latin = lambda m: "".join(_latin(c) if c.isalpha() else c for c in m[0]) if m[0] in doubted else m[0]
+    text = _WORD.sub(lambda m: re.sub(r"[^\u2e80-\u9fff\uf900-\ufaff]+", latin, m[0]), text)
+    return unicodedata.normalize("NFC", text)
+
+
 def normalize(text: str) -> tuple[str, list[str], list[str]]:
     """(text in one form, kinds of disguise in it, its whole-script skeletons that the vocabulary has to decide)."""
     kinds = []
@@ -154,11 +172,7 @@ def normalize(text: str) -> tuple[str, list[str], list[str]]:
         turned = lone.sub(lambda m: KANA_HAN[m[0]] if m.start() and "\u4e00" <= text[m.start() - 1] <= "\u9fff" and "\u4e00" <= text[m.end() : m.end() + 1] <= "\u9fff" else m[0], text)
         alike |= turned != text
         text = turned
-    doubtful = []
-    if re.search(r"[\u0370-\u058f]", text):
-        words = [t for w in _WORD.findall(text) for t in re.findall(r"[^\u2e80-\u9fff\uf900-\ufaff]+", w)]
-        firm = {script(c) for w in words if skeleton(w) is None for c in w if script(c) in ("CYRILLIC", "GREEK", "ARMENIAN") and c not in SYMBOLS}
-        doubtful = [s for w in words if (s := skeleton(w)) and script(w[0]) not in firm]
+    doubtful = [skeleton(w) for w in _doubted(text)]
     if alike:
         kinds.append("lookalike")
     return unicodedata.normalize("NFC", text), kinds, doubtful
@@ -185,10 +199,32 @@ def examine(records: DataFrame) -> DataFrame:
     return plain.unionByName(seen)
 
 
+def _words(examined: DataFrame) -> DataFrame:
+    return examined.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0))).alias("word")).distinct()
+
+
+def _respelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        b["text"] = [respell(t, set(w)) for t, w in zip(b["text"], b["words"])]
+        yield b.drop(columns="words")
+
+
+def unify(examined: DataFrame) -> DataFrame:
+    """`examined` without `doubtful`: whole-script tokens whose Latin double is a word of the records are spelled so, and their records are a 'lookalike' besides what they were.
+
+    Only records with such tokens take part in the join; of them, equal ones come once.
+    """
+    cols = ["rec", "rec_uid", "field_name", "text", "disguises"]
+    doubt = examined.filter(F.size("doubtful") > 0).select(*cols, F.explode("doubtful").alias("word"))
+    known = doubt.join(_words(examined).withColumn("_known", F.lit(True)), "word", "left")
+    rows = known.groupBy(*cols).agg(F.collect_set(F.when(F.col("_known"), F.col("word"))).alias("words"))
+    turned = rows.filter(F.size("words") > 0).withColumn("disguises", F.array_union("disguises", F.array(F.lit("lookalike")))).mapInPandas(_respelled, CASES.rsplit(",", 1)[0])
+    return examined.filter(F.size("doubtful") == 0).select(*cols).unionByName(rows.filter(F.size("words") == 0).select(*cols)).unionByName(turned)
+
+
 def settle(examined: DataFrame) -> DataFrame:
     """(rec, rec_uid, field_name, disguise): one row per kind, whole-script tokens included."""
     key = ["rec", "rec_uid", "field_name"]
     doubt = examined.filter(F.size("doubtful") > 0).select(*key, F.explode("doubtful").alias("word"))
-    words = examined.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0))).alias("word")).distinct()
-    whole = doubt.join(words, "word", "left_semi").select(*key, F.lit("lookalike").alias("disguise"))
+    whole = doubt.join(_words(examined), "word", "left_semi").select(*key, F.lit("lookalike").alias("disguise"))
     return examined.select(*key, F.explode("disguises").alias("disguise")).unionByName(whole).distinct()

@@ -64,8 +64,8 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text, title and keyword in one form."""
-    return confusables.examine(_named(spark, sf_dir)).select("rec", "rec_uid", "field_name", "text", "disguises")
+    """Every text, title and keyword in one form, whole-script lookalikes of the records' words included."""
+    return confusables.unify(confusables.examine(_named(spark, sf_dir)))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,20 @@ def test_examine_and_settle(spark):
     assert confusables.settle(confusables.examine(df.limit(0))).count() == 0
 
 
+def test_whole_script_tokens_take_the_spelling_of_the_words(spark):
+    data = [("block", 1, "text", "the Ра of the field"), ("block", 2, "text", "10 Pa and io"), ("block", 3, "text", "журнал Ра"), ("block", 4, "text", "іо\u3000压力іо值"), ("article", 5, "keywords", "Ра"), ("article", 5, "keywords", "Ро"), ("article", None, "keywords", "Ра"), ("block", 6, "text", "ре\u0308 Ра")]
+    df = spark.createDataFrame([*data, data[0]], "rec string, rec_uid long, field_name string, text string")
+    ex = confusables.examine(df)
+    got = confusables.unify(ex)
+    assert rows(got.select("rec_uid", "field_name", "text", F.array_join(F.array_sort("disguises"), ",").alias("d")).filter("rec_uid IS NOT NULL")) == [
+        (1, "text", "the Pa of the field", "lookalike"), (2, "text", "10 Pa and io", ""), (3, "text", "журнал Ра", ""), (4, "text", "io 压力io值", "lookalike,space"),
+        (5, "keywords", "Pa", "lookalike"), (5, "keywords", "Ро", ""), (6, "text", "рё Pa", "accent,lookalike"),
+    ]
+    assert [r.text for r in got.filter("rec_uid IS NULL").collect()] == ["Pa"]
+    assert rows(got.select("rec", "rec_uid", "field_name", F.explode("disguises").alias("disguise")).distinct().filter("rec_uid IS NOT NULL")) == rows(confusables.settle(ex).filter("rec_uid IS NOT NULL"))
+    assert confusables.unify(confusables.examine(df.limit(0))).count() == 0
+
+
 # Repetition
 
 
