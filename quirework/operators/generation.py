@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quirework.functions import text as T
 from quirework.operators import routing
 from quirework.operators.layout import PAGE
-from quirework.operators.pages import LOW_VALUE
+from quirework.operators.pages import LOW_VALUE, order_of
 
 # The words that pick a field's sentences.
 METHOD_STEPS = ("方法", "流程", "采用", "建立", "试验", "实验", "仿真", "计算")
@@ -88,14 +88,22 @@ def is_corpus_noise(t: Column, role: Column, page: Column) -> Column:
     )
 
 
-def corpus_samples(windows: DataFrame, paragraphs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Corpus texts of windows: a heading of journal, article and pages, then per page its label and its paragraphs of text, cleaned."""
+def corpus_samples(windows: DataFrame, paragraphs: DataFrame, pages: DataFrame, visible: DataFrame) -> DataFrame:
+    """Corpus texts of windows: a heading of journal, article and pages, then per page its label and its paragraphs of text, cleaned.
+
+    A page on which no paragraph starts has the lines of its visible blocks in reading order instead.
+    """
+    at = ["journal_id", "article_id", "page_index"]
     p = paragraphs.withColumn("line", T.clean_text("text")).filter(~F.col("role").isin(*UNREAD_ROLES) & ~is_corpus_noise(F.col("line"), F.col("role"), F.col("start_page")))
     lines = p.groupBy("journal_id", "article_id", F.col("start_page").alias("page_index")).agg(F.sort_array(F.collect_list(F.struct("paragraph", "line"))).alias("ls"))
+    rest = visible.join(paragraphs.select("journal_id", "article_id", F.col("start_page").alias("page_index")), at, "left_anti").filter(~is_corpus_noise(F.col("shown"), F.col("semantic_role"), F.col("page_index")))
+    more = rest.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct(order_of().alias("o"), "block_ordinal", F.col("shown").alias("line")))).alias("ls"))
+    lines, more = (x.select(*at, F.transform("ls", lambda x: x["line"]).alias("ls")) for x in (lines, more))
+    lines = lines.unionByName(more)
     w = windows.withColumn("page_index", F.explode(F.sequence("first_page", "last_page")))
     label = F.when(T.clean_text("page_label") == "", F.col("page_index").cast("string")).otherwise(T.clean_text("page_label"))
-    j = w.join(pages.select(*PAGE, "article_id", "journal_name", "article_title", label.alias("label")), [*PAGE, "article_id"]).join(lines, ["journal_id", "article_id", "page_index"], "left")
-    body = F.array_join(F.concat(F.array(F.concat(F.lit("[页码："), "label", F.lit("]"))), F.coalesce(F.transform("ls", lambda x: x["line"]), F.array().cast("array<string>"))), "\n")
+    j = w.join(pages.select(*PAGE, "article_id", "journal_name", "article_title", label.alias("label")), [*PAGE, "article_id"]).join(lines, at, "left")
+    body = F.array_join(F.concat(F.array(F.concat(F.lit("[页码："), "label", F.lit("]"))), F.coalesce("ls", F.array().cast("array<string>"))), "\n")
     g = j.groupBy("journal_id", "article_id", "first_page", "last_page").agg(F.sort_array(F.collect_list(F.struct("page_index", body.alias("b"), "label", "journal_name", "article_title"))).alias("ps"))
     first, last = F.col("ps")[0], F.element_at("ps", -1)
     span = F.when(first["label"] == last["label"], first["label"]).otherwise(F.concat(first["label"], F.lit("-"), last["label"]))

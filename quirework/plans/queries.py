@@ -243,7 +243,8 @@ def contributions(spark, d):
 def corpus_samples(spark, d):
     """PRJ-25, SUP-4, PRD-6."""
     p = _pages(spark, d)
-    return generation.corpus_samples(routing.corpus_windows(p).drop("win", "n_pages", "n_chars"), paragraphs(spark, d), p)
+    visible = pages.visible_blocks(_blocks(spark, d), p)
+    return generation.corpus_samples(routing.corpus_windows(p).drop("win", "n_pages", "n_chars"), pages.paragraphs(visible), p, visible)
 
 
 def corpus_lines(spark, d):
@@ -295,8 +296,10 @@ def figure_instructions(spark, d):
 
 def parsed_responses(spark, d):
     """SCL-18, SCL-19 over the events' property strings and over answers: objects read from each."""
-    raw = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("props").alias("raw"))
-    return raw.select("id", F.size(responses.parse_response(responses.strip_reasoning(F.col("raw")))).alias("n"))
+    events = table(spark, d, "events").select(F.lit("event").alias("source"), F.col("event_id").cast("string").alias("id"), F.col("props").alias("raw"))
+    answers = _samples(spark, d).select(F.lit("sample").alias("source"), F.col("id").cast("string").alias("id"), F.col("answer").alias("raw"))
+    raw = events.unionByName(answers)
+    return raw.select("source", "id", F.size(responses.parse_response(responses.strip_reasoning(F.col("raw")))).alias("n"))
 
 
 def term_overlap(spark, d):

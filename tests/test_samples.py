@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from quirework.functions import payloads, responses
 from quirework.functions import text as T
-from quirework.operators import components, quality, samples
+from quirework.operators import components, generation, pages, quality, samples
+from quirework.plans import queries
 from quirework.sources import readers, sinks
 from quirework.streaming import ingest
 
@@ -197,3 +198,20 @@ def test_windows_and_sessions(spark):
     e = spark.sql("SELECT timestamp'2024-01-01 00:10:00' AS ts, 1L AS user_id, 'a' AS event_type, 1.0D AS value UNION ALL SELECT timestamp'2024-01-01 00:30:00', 1L, 'a', 2.0D UNION ALL SELECT timestamp'2024-01-01 02:00:00', 1L, 'a', 4.0D")
     assert sorted((r.n, r.value) for r in ingest.window_counts(e).collect()) == [(1, 4.0), (2, 3.0)]
     assert sorted(r.n for r in ingest.sessions(e).collect()) == [1, 2]
+
+
+def test_page_of_a_continuation_has_its_blocks(spark):
+    v = spark.createDataFrame([("j", "a", 1, "article_body", 0, 1, "body", "text", "上一段没有完"), ("j", "a", 2, "article_body", 1, 2, "body", "text", "后"), ("j", "a", 2, "article_body", 0, 1, "body", "text", "先"), ("j", "a", 2, "article_body", 2, 3, "body", "text", "OSID:")], "journal_id string, article_id string, page_index int, page_type string, block_ordinal int, reading_order int, semantic_role string, block_type string, shown string")
+    p = spark.createDataFrame([("j", 1, "a", "刊", "题", "1"), ("j", 2, "a", "刊", "题", "2")], "journal_id string, page_index int, article_id string, journal_name string, article_title string, page_label string")
+    w = spark.createDataFrame([("j", "a", 1, 2)], "journal_id string, article_id string, first_page int, last_page int")
+    paras = pages.paragraphs(v)
+    assert {r.start_page for r in paras.collect()} == {1}
+    text = generation.corpus_samples(w, paras, p, v).first().text
+    assert text.split("页码：2]")[1].split() == ["先", "后"]
+
+
+def test_answers_are_parsed_too(spark, tmp_path):
+    spark.createDataFrame([(7, '{"a": 1}')], "event_id long, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([("s", '<think>x</think>{"b": 2}'), ("t", None), ("u", "text")], "id string, answer string").write.parquet(f"{tmp_path}/samples.parquet")
+    got = {(r.source, r.id): r.n for r in queries.parsed_responses(spark, str(tmp_path)).collect()}
+    assert set(got) == {("event", "7"), ("sample", "s"), ("sample", "t"), ("sample", "u")} and got["event", "7"] == got["sample", "s"] == 1
