@@ -20,8 +20,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 #: Pairs at most that the field is fitted on.
 SAMPLE = 600
 STEPS, RATE, L2 = 120, 0.25, 1e-3
-#: Clauses at most of a pair that the field is fitted on, the last ones; tagging takes all.
-LONGEST = 12
+#: Fitting cuts a longer chain of clauses into stretches of so many, so that its memory grows with the clauses and not with the longest answer; all clauses take part, only the transition at a cut is not counted.
+STRETCH = 16
 DEFECTS = "id string, defect string, answer_share double, refusal_share double, echo_share double, foreign_share double, unfinished_share double"
 
 # Words that stand for no answer.
@@ -220,17 +220,20 @@ class Field:
 
     @classmethod
     def fit(cls, xs: list[np.ndarray], ys: list[np.ndarray], steps: int = STEPS, rate: float = RATE) -> Field:
-        x, n = cls._pad(xs)
+        """The field that explains the tags `ys` of the feature rows `xs` best (gradient ascent with an L2 penalty)."""
+        cuts = [(i, a) for i, v in enumerate(ys) for a in range(0, len(v), STRETCH)]
+        first = np.array([a == 0 for _, a in cuts], dtype=float)[:, None]
+        x, n = cls._pad([xs[i][a : a + STRETCH] for i, a in cuts])
         m, top, f = x.shape
         k = len(TAGS)
         y = np.zeros((m, top), dtype=int)
-        for i, v in enumerate(ys):
-            y[i, : len(v)] = v
+        for row, (i, a) in enumerate(cuts):
+            y[row, : n[row]] = ys[i][a : a + STRETCH]
         live = np.arange(top)[None, :] < n[:, None]
         hot = np.eye(k)[y] * live[:, :, None]
         seen_w = np.einsum("mtf,mtk->fk", x, hot)
         seen_t = np.einsum("mtj,mtk->jk", hot[:, :-1], hot[:, 1:])
-        seen_s = hot[:, 0].sum(axis=0)
+        seen_s = (hot[:, 0] * first).sum(axis=0)
         p = np.zeros(f * k + k * k + k)
         mom, var = np.zeros_like(p), np.zeros_like(p)
         lse = lambda a, axis: (b := a.max(axis=axis, keepdims=True)).squeeze(axis) + np.log(np.exp(a - b).sum(axis=axis))
@@ -238,7 +241,7 @@ class Field:
             w, t, s = p[: f * k].reshape(f, k), p[f * k : f * k + k * k].reshape(k, k), p[-k:]
             e = x @ w
             fwd, bwd = np.zeros((m, top, k)), np.zeros((m, top, k))
-            fwd[:, 0] = e[:, 0] + s
+            fwd[:, 0] = e[:, 0] + s * first
             for i in range(1, top):
                 fwd[:, i] = np.where(live[:, i, None], lse(fwd[:, i - 1][:, :, None] + t, 1) + e[:, i], fwd[:, i - 1])
             for i in range(top - 2, -1, -1):
@@ -246,7 +249,7 @@ class Field:
             z = lse(fwd[:, -1], 1)
             node = np.exp(fwd + bwd - z[:, None, None]) * live[:, :, None]
             edge = np.exp(fwd[:, :-1, :, None] + t + (e[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None]) * live[:, 1:, None, None]
-            grad = np.concatenate([(seen_w - np.einsum("mtf,mtk->fk", x, node)).ravel(), (seen_t - edge.sum(axis=(0, 1))).ravel(), seen_s - node[:, 0].sum(axis=0)]) / m - L2 * p
+            grad = np.concatenate([(seen_w - np.einsum("mtf,mtk->fk", x, node)).ravel(), (seen_t - edge.sum(axis=(0, 1))).ravel(), seen_s - (node[:, 0] * first).sum(axis=0)]) / len(xs) - L2 * p
             mom, var = 0.9 * mom + 0.1 * grad, 0.99 * var + 0.01 * grad**2
             p = p + rate * (mom / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.99**step)) + 1e-8)
         return cls(p[: f * k].reshape(f, k), p[f * k : f * k + k * k].reshape(k, k), p[-k:])
@@ -283,8 +286,8 @@ def broken_examples(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[np
             y = np.full(len(parts), TAGS.index("answer" if only_last else tag))
             if only_last:
                 y[-1] = TAGS.index(tag)
-            xs.append(x[-LONGEST:])
-            ys.append(y[-LONGEST:])
+            xs.append(x)
+            ys.append(y)
 
     for q, a in good:
         lang = wanted(q, language(q))
@@ -310,8 +313,8 @@ def broken_examples(rows: list[tuple[str, str]], seed: int = 7) -> tuple[list[np
             # the instruction again, and then an answer
             x, parts = features([q], [q + "\n" + a])[0]
             y = np.array([TAGS.index("echo" if r[_INDEX["echo_most"]] else "answer") for r in x])
-            xs.append(x[-LONGEST:])
-            ys.append(y[-LONGEST:])
+            xs.append(x)
+            ys.append(y)
     return xs, ys
 
 
