@@ -29,7 +29,7 @@ def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_noise.repair(_scanned(spark, sf_dir), with_text=False).select("rec", "rec_uid", F.explode("kinds").alias("noise")).distinct()
+    return scan_noise.noise(_scanned(spark, sf_dir)).select("rec", "rec_uid", F.explode("kinds").alias("noise")).distinct()
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

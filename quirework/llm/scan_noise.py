@@ -2,17 +2,21 @@
 
 Edge lines (the journal's running header, the page's number) are removed by what the journal and the page are called. Words broken
 over line ends are joined where the corpus has the joined word rather than the hyphenated one. Misread characters are found by
-statistics over all texts: a word's anagram value is the sum of the fifth powers of its characters' values, so two words that
-differ in one confusable sign differ by a fixed amount. In SQL rare words are joined with frequent ones on the value that is left
-when confusable signs count alike (Latin words) or when the middle sign is taken off (an ideograph with its neighbours); the
-difference that remains names the confusion. Confusions are ranked by their contexts and their rate in them, and the best correction of each rare form is applied.
+statistics over all texts. A word's anagram value is the sum of the fifth powers of its characters, so a confusion changes it by a
+fixed difference wherever in the word it strikes. In SQL words are joined with frequent ones whose value lies a sum of known
+differences away; known are the confusions of scanning that are listed here, and those that the corpus itself shows: differences
+of one sign by which an unusual share of the frequent words has a rare variant. Ideographs have no words; each is taken with
+its neighbours, and the value without the middle sign brings a form and its misread forms together. Corrections are ranked (by the
+right form's frequency; confusions of ideographs by their contexts and their rate in them), and the best one of each rare form is applied.
+
+Corrections never come to the driver: a bit table of fixed size goes to the texts, what it lets pass is joined with the corrections, and
+all corrections of a text are applied to the same text at once.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,26 +28,33 @@ from pyspark.sql import functions as F
 
 from quirework.session import checkpoint
 
-# Latin signs that scanning confuses, as pairs of what is read and what counts for it; single signs first, so that pairs of signs meet them in one form.
-LATIN_CLASSES = (("|", "l"), ("1", "l"), ("i", "l"), ("0", "o"), ("e", "c"), ("h", "b"), ("t", "f"), ("5", "s"), ("9", "g"), ("q", "g"), ("rn", "m"), ("cl", "d"), ("vv", "w"), ("ll", "b"))
-#: A frequent form is at least so many times its rare variant.
-#: A word with a figure in it needs twice only.
-WORD_RATIO, SIGN_RATIO, KNOWN_RATIO = 12, 12, 4
-#: Corrections that a pass over the texts takes along at most (rows); more are applied in further passes.
-BLOCK = 500_000
+# Latin signs and pairs of signs that scanning confuses, in either direction.
+CONFUSED = ("|1 |i |l 1i 1l il 0o ec tf hb 5s 9g qg 9q".split(), (("rn", "m"), ("cl", "d"), ("vv", "w"), ("ll", "b"), ("ll", "h"), ("li", "b"), ("li", "h")))
+# The same confusions as what a sign counts for when two spellings are compared; single signs first, so that pairs of signs meet them in one form.
+COUNTS_FOR = (("|", "l"), ("1", "l"), ("i", "l"), ("0", "o"), ("e", "c"), ("h", "b"), ("t", "f"), ("5", "s"), ("9", "g"), ("q", "g"), ("rn", "m"), ("cl", "d"), ("vv", "w"), ("ll", "b"))
+#: A confusion of one sign for another is learned if so many words, and so great a share of the frequent words with that sign, have a rare variant by it; words of so many letters count.
+LEARNED_WORDS, LEARNED_SHARE, LEARNED_LENGTH = 5, 0.05, 6
+#: Letters of a word at least and at most that is corrected.
+SHORTEST, WORD_LENGTH = 3, 64
+#: A frequent form is at least so many times its rare variant; a word with a figure in it needs less.
+WORD_RATIO, FIGURE_RATIO, SIGN_RATIO, KNOWN_RATIO = 12, 2, 12, 4
+#: Bits of the table that tells which forms may have a correction. Its size is fixed (2 MB): with more corrections it lets more forms pass to the join.
+BITS = 1 << 24
 
 MARK = "-‐¬­"
 _INVISIBLE = re.compile("[​-‏‪-‮⁠-⁤﻿]")
-_BREAK = re.compile(rf"(?<![^\W\d_])([^\W\d_][^\W_]*)[{MARK}](?:[ \t]*\r?\n\s*|[ \t]+)(?=([^\W\d_A-Z][^\W_]*))")
-_WORD = re.compile(r"[^\W_]*[^\W\d_][^\W_]*(?:-[^\W\d_]+)*")
-_LATIN = re.compile(r"[a-z0-9|]*[a-z][a-z0-9|]*(?:-[a-z]+)*")
+_BREAK = re.compile(rf"(?<![A-Za-zÀ-ɏ])([A-Za-zÀ-ɏ][A-Za-zÀ-ɏ0-9]*)[{MARK}](?:[ \t]*\r?\n\s*|[ \t]+)(?=([a-zß-ɏ][A-Za-zÀ-ɏ0-9]*))")
+_MAY_BREAK = re.compile(rf"[{MARK}]\s")
+# A word next to a letter of another alphabet is a part of a longer one.
+_LATIN = re.compile(r"(?<![a-z0-9|À-ԯ])[a-z0-9|]*[a-z][a-z0-9|]*(?:-[a-z]+)*(?![a-z0-9|À-ԯ])")
+_LATIN_ANY_CASE = re.compile(r"(?<![A-Za-z0-9|À-ԯ])[A-Za-z0-9|]*[A-Za-z][A-Za-z0-9|]*(?:-[A-Za-z]+)*(?![A-Za-z0-9|À-ԯ])")
+_BESIDE = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789|-")
 _UNREADABLE = re.compile(r"�|(?<=[^\s□■])[□■]|[□■](?=[^\s□■])")
 _PAGE = re.compile(r"[-–—·•.|\[(<\s]*(?:第\s*|p(?:age|\.)?\s*)?(\d{1,5})(?:\s*页)?(?:\s*[,/·]?\s*(?:共|of|/)\s*\d+\s*页?)?[-–—·•.|\])>\s]*", re.I)
 _AUTHORS = re.compile(r"(?:第\s*\d+\s*[期卷]\s*)?[一-鿿·]{2,12}\s*等\s*[:：]\s*\S.*[^。]|(?:No\.?\s*\d+\s+)?(?:[A-Z][\w.'’-]*\s+){1,4}et al\.?\s*:\s*\S.*[^.]")
 _ISSUE = re.compile(r"(?:19|20)\d\d年?|第\d+[期卷]|\d+[年期卷]|(?:volume|vol|no|issue)\d+|\d+")
 _SIGNS = re.compile(r"[\W_]+")
 
-FOUND = "rec string, rec_uid bigint, kinds array<string>, text string"
 _HAN_LOW, _HAN_HIGH = 0x4E00, 0x9FFF
 
 
@@ -105,12 +116,6 @@ def breaks(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def canonical(word: str) -> str:
-    for read, stands in LATIN_CLASSES:
-        word = word.replace(read, stands)
-    return word
-
-
 def _words(text: str) -> list[str]:
     return _LATIN.findall(text)
 
@@ -171,15 +176,14 @@ def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = []
         for text, name, page, cover in zip(b["text"], b["name"], b["page"], b["cover"]):
             text, _ = edge_lines(_light(text), name or "", page, cover)
-            if any(m in text for m in MARK):
+            rest, cut = text, fragments(text)
+            if cut:
                 for first, second in breaks(text):
                     broken[f"{first}\t{second}"] += 1
-                apart = Counter(_words(_BREAK.sub(" \x00", text).lower()))
-                words.update(apart)
-                text = _joined(text)
-                joined.update(Counter(_words(text.lower())) - apart)
-            else:
-                words.update(_words(text.lower()))
+                for a, z in reversed(cut):  # the parts of a broken word are no words
+                    joined.update(_words(_joined(text[a:z]).lower()))
+                    rest = f"{rest[:a]}\x00{rest[z:]}"
+            words.update(_words(rest.lower()))
             texts.append(text)
         seen.append(np.unique(_triples(_codes(texts)), return_counts=True))
         held += len(seen[-1][0])
@@ -200,27 +204,76 @@ def statistics(records: DataFrame) -> DataFrame:
 
 
 def anagram(word: F.Column) -> F.Column:
-    """Sum of the fifth powers of a word's signs, in the JVM."""
-    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.pow(F.ascii(c).cast("double"), F.lit(5.0))), F.lit(0.0), lambda a, x: a + x)
-
-
-def word_corrections(stats: DataFrame) -> DataFrame:
-    """(wrong, right): rare Latin words and the frequent word that they are read for; the most frequent one where there are several."""
-    w = stats.filter("kind IN ('w', 'j')").filter(F.length("word") >= 3).groupBy("word").agg(F.sum("n").alias("n"))
-    c = F.col("word")
-    for read, stands in LATIN_CLASSES:
-        c = F.replace(c, F.lit(read), F.lit(stands))
-    # With confusable signs counted alike, the values of a word and of its misread forms differ by nothing; the canonical spelling then rules out other words of the same signs.
-    w = w.withColumn("canon", c).withColumn("value", anagram(F.col("canon")))
-    right = w.filter("n >= 3 AND NOT word RLIKE '[0-9|]'").select(F.col("word").alias("right"), F.col("n").alias("m"), "value", "canon")
-    wrong = w.select(F.col("word").alias("wrong"), "n", "value", "canon")
-    got = wrong.join(right, ["value", "canon"]).filter((F.col("wrong") != F.col("right")) & (F.col("m") >= F.col("n") * F.when(F.col("wrong").rlike("[0-9|]"), 2).otherwise(WORD_RATIO)))
+    """Sum of the fifth powers of a word's signs, in the JVM; exact for words of WORD_LENGTH Latin signs."""
+    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.pow(F.ascii(c).cast("double"), F.lit(5.0)).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def known_words(stats: DataFrame) -> DataFrame:
+    """(word, n, value): the Latin words of the texts with their anagram values."""
+    w = stats.filter("kind IN ('w', 'j')").filter(F.length("word").between(SHORTEST, WORD_LENGTH)).groupBy("word").agg(F.sum("n").alias("n"))
+    return w.withColumn("value", anagram(F.col("word")))
+
+
+def _is_right() -> F.Column:
+    return (F.col("n") >= 3) & ~F.col("word").rlike("[0-9|]")
+
+
+def confusions(words: DataFrame) -> DataFrame:
+    """(read, stands): the listed confusions, and those of one sign for another that the words show.
+
+    Words and frequent words meet on their value without one sign (and their length); a step of one between them names the confusion. It is learned if the frequent
+    words that have a rare variant by it are LEARNED_SHARE of all frequent words with that sign, and LEARNED_WORDS at least; both hold alike in small and large corpora.
+    """
+    long = words.filter(F.length("word") >= LEARNED_LENGTH)
+    sign = F.explode(F.array_distinct(F.split("word", "")))
+    less = F.col("value") - F.pow(F.ascii("sign").cast("double"), F.lit(5.0)).cast("bigint")
+    rare = long.select("word", "n", "value", sign.alias("sign")).select(F.col("word").alias("wrong"), "n", F.col("sign").alias("read"), less.alias("rest"), F.length("word").alias("size"))
+    often = long.filter(_is_right() & (F.col("n") >= WORD_RATIO)).select("word", "n", "value", sign.alias("sign")).select(F.col("word").alias("right"), F.col("n").alias("m"), F.col("sign").alias("stands"), less.alias("rest"), F.length("word").alias("size"))
+    near = rare.join(often, ["rest", "size"]).filter((F.col("read") != F.col("stands")) & (F.col("m") >= F.col("n") * WORD_RATIO)).filter(F.levenshtein("wrong", "right") == 1)
+    seen = near.groupBy("read", "stands").agg(F.count_distinct("right").alias("seen"))
+    of = often.groupBy("stands").agg(F.count("*").alias("of"))
+    learned = seen.join(of, "stands").filter((F.col("seen") >= LEARNED_WORDS) & (F.col("seen") >= F.col("of") * LEARNED_SHARE)).select("read", "stands")
+    pairs = [(p[0], p[1]) for p in CONFUSED[0]] + list(CONFUSED[1])
+    listed = words.sparkSession.createDataFrame([*pairs, *((b, a) for a, b in pairs)], "read string, stands string")
+    return listed.unionByName(learned).distinct()
+
+
+def word_corrections(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(wrong, right): words and the frequent word that they are read for; the most frequent one where there are several.
+
+    A word of value v is joined with the frequent words of value v less the differences of up to four confusions (two taken off the word, two put on the frequent one). A value knows no order of
+    signs, and several differences may add up to that of other signs, so the spellings are then compared: they are one step apart, or the same with all listed confusions undone.
+    """
+
+    def undone(c: F.Column) -> F.Column:
+        for read, stands in COUNTS_FOR:
+            c = F.replace(c, F.lit(read), F.lit(stands))
+        return c
+
+    d = known.withColumn("d", anagram(F.col("read")) - anagram(F.col("stands"))).withColumn("cost", F.greatest(F.length("read"), F.length("stands")))
+    # The confusions of a few dozen signs are a few hundred rows: one array that goes with each word.
+    table = d.agg(F.sort_array(F.collect_list(F.struct("read", "stands", "d", "cost"))).alias("table"))
+
+    def steps(side: DataFrame, of: str, sign: int) -> DataFrame:
+        fits = F.filter("table", lambda t: F.contains(F.col("word"), t[of]))
+        one = F.transform(fits, lambda t: F.struct((t["d"] * sign).alias("d"), t["cost"].alias("cost")))
+        two = F.flatten(F.transform(one, lambda x: F.transform(one, lambda y: F.struct((x["d"] + y["d"]).alias("d"), (x["cost"] + y["cost"]).alias("cost")))))
+        none = F.array(F.struct(F.lit(0).cast("bigint").alias("d"), F.lit(0).alias("cost")))
+        every = F.explode(F.array_distinct(F.concat(none, one, two))).alias("step")
+        got = side.crossJoin(F.broadcast(table)).select("word", "n", "value", every)  # the table is one row
+        return got.groupBy("word", "n", (F.col("value") + F.col("step.d")).alias("at")).agg(F.min("step.cost").alias("cost"))
+
+    wrong = steps(words, "read", -1).select(F.col("word").alias("wrong"), "n", "at", "cost")
+    right = steps(words.filter(_is_right()), "stands", 1).select(F.col("word").alias("right"), F.col("n").alias("m"), "at", F.col("cost").alias("more"))
+    got = wrong.join(right, "at").filter((F.col("wrong") != F.col("right")) & (F.col("m") >= F.col("n") * F.when(F.col("wrong").rlike("[0-9|]"), FIGURE_RATIO).otherwise(WORD_RATIO)))
+    got = got.filter(((F.col("cost") + F.col("more") == 1) & (F.levenshtein("wrong", "right") == 1)) | (undone(F.col("wrong")) == undone(F.col("right"))))
     return got.groupBy("wrong").agg(F.max_by("right", F.struct("m", "right")).alias("right"))
 
 
 def sign_corrections(stats: DataFrame) -> DataFrame:
-    """(sign, right): ideographs in their neighbours' company that are read for another one.
+    """(sign, right): ideographs in their neighbours' company that are read for another one; without neighbours (`sign` holds the middle only) those that are hardly ever right.
 
+    The value of a form is that of its three signs by place; less its middle it is that of its surroundings, in which the frequent form and its rare ones meet.
     A pair (read, right) counts as a confusion if the read form turns up in several of the right form's contexts at the low rate of scanning,
     or if it is seen hardly anywhere else; two signs that both belong somewhere share few contexts, at other rates.
     """
@@ -261,51 +314,247 @@ def kept_hyphens(stats: DataFrame) -> DataFrame:
     return h.filter(own | both).select("first", "second").distinct()
 
 
-class Corrections:
-    """What a pass over the texts takes along."""
+def corrections(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(what the texts are joined with: kind, form, right; ideographs that are wrong wherever they stand: sign, right). Kinds: 'w' a word, 's' an ideograph with its neighbours, 'h' a break whose mark is the word's own."""
+    words = checkpoint(known_words(stats))
+    w = word_corrections(words, confusions(words)).select(F.lit("w").alias("kind"), F.col("wrong").alias("form"), "right")
+    signs = checkpoint(sign_corrections(stats))
+    s = signs.filter(F.col("sign") >= 1 << 42).select(F.lit("s").alias("kind"), F.col("sign").cast("string").alias("form"), F.col("right").cast("string").alias("right"))
+    h = kept_hyphens(stats).select(F.lit("h").alias("kind"), F.concat_ws("\t", "first", "second").alias("form"), F.lit("").alias("right"))
+    return checkpoint(w.unionByName(s).unionByName(h)), signs.filter(F.col("sign") < 1 << 42)
+
+
+def _slots(forms: list[str], size: int) -> np.ndarray:
+    return (pd.util.hash_array(np.array(forms, dtype=object)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def _sign_slots(signs: np.ndarray, size: int) -> np.ndarray:
+    return ((signs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) & (size - 1)
+
+
+def _table_slots(size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sign = (b["kind"] == "s").to_numpy()
+            slot = np.zeros(len(b), dtype=np.int64)
+            if sign.any():
+                slot[sign] = _sign_slots(b["form"][sign].astype("int64").to_numpy(), size)
+            if not sign.all():
+                slot[~sign] = _slots(b["form"][~sign].tolist(), size)
+            yield pd.DataFrame({"slot": slot + 1})  # buckets of bits are counted from 1
+
+    return run
+
+
+class Screen:
+    """What goes to every text: the bits of all forms that have a correction, and the ideographs that are wrong anywhere (at most as many as there are ideographs)."""
 
-    def __init__(self, words: dict[str, str], signs: np.ndarray, right: np.ndarray, hyphens: frozenset):
-        order = np.argsort(signs)
-        self.words, self.signs, self.right, self.hyphens = words, signs[order], right[order], hyphens
-        self.lone = np.zeros(1 << 16, dtype=bool)
-        self.lone[(self.signs[self.signs < 1 << 42] >> 21) & 0xFFFF] = True
-        self.bits = np.zeros(1 << 20, dtype=bool)
-        self.bits[self._slot(self.signs)] = True
+    def __init__(self, bits: bytes, lone: dict[int, int]):
+        self.bits = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little").view(bool)
+        self.lone = lone
+        self.alone = np.zeros(1 << 16, dtype=bool)
+        self.alone[list(lone)] = True
 
-    @staticmethod
-    def _slot(signs: np.ndarray) -> np.ndarray:
-        return ((signs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+    def words(self, forms: set[str]) -> set[str]:
+        forms = list(forms)
+        return {f for f, hit in zip(forms, self.bits[_slots(forms, len(self.bits))].tolist()) if hit} if forms else set()
 
-    def wrong_signs(self, texts: list[str]) -> list[set]:
-        """For each text the triples in it that are wrong."""
+    def signs(self, texts: list[str]) -> tuple[list[set], list[bool]]:
+        """For each text its ideographs with neighbours that the bits let pass, and whether one is wrong anywhere."""
         out: list[set] = [set() for _ in texts]
-        if not len(self.signs) or not texts:
-            return out
-        code = _codes(texts)
-        mid = code[1:-1]
-        at = np.flatnonzero((mid >= _HAN_LOW) & (mid <= _HAN_HIGH))
-        key = (code[at] << 42) | (code[at + 1] << 21) | code[at + 2]
-        maybe = np.flatnonzero(self.bits[self._slot(key)])
-        found = np.minimum(np.searchsorted(self.signs, key[maybe]), len(self.signs) - 1)
-        hit = maybe[self.signs[found] == key[maybe]]
-        lone = np.flatnonzero(self.lone[mid[at]])
-        owner = np.cumsum(code == 0) // 2
-        for where, keys in ((hit, key[hit]), (lone, mid[at[lone]] << 21)):
-            for o, k in zip(owner[at[where]].tolist(), keys.tolist()):
+        always = [False] * len(texts)
+        if texts:
+            code = _codes(texts)
+            mid = code[1:-1]
+            at = np.flatnonzero((mid >= _HAN_LOW) & (mid <= _HAN_HIGH))
+            key = (code[at] << 42) | (code[at + 1] << 21) | code[at + 2]
+            owner = np.cumsum(code == 0) // 2
+            hit = np.flatnonzero(self.bits[_sign_slots(key, len(self.bits))])
+            for o, k in zip(owner[at[hit]].tolist(), key[hit].tolist()):
                 out[o].add(k)
+            for o in np.unique(owner[at[self.alone[mid[at]]]]).tolist():
+                always[o] = True
+        return out, always
+
+
+def _screen(table: DataFrame, lone: DataFrame, size: int) -> tuple[bytes, dict[int, int]]:
+    """What a Screen is made of. The bits are put together in buckets of 4 KB by the cluster; size / 8 bytes at most come to the driver."""
+    slots = table.select("kind", "form").mapInPandas(_table_slots(size), "slot bigint").distinct()
+    buckets = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bits = bytearray(size // 8)
+    for r in buckets:
+        bits[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = r["bits"]
+    return bytes(bits), {int(r["sign"]) >> 21: int(r["right"]) for r in lone.collect()}
+
+
+def fragments(text: str) -> list[tuple[int, int]]:
+    """Stretches of a text that hold broken words, with all that a word around the breaks may reach over."""
+    out: list[tuple[int, int]] = []
+    if not _MAY_BREAK.search(text):
         return out
+    for m in _BREAK.finditer(text):
+        a, z = m.start(), m.end(2)
+        while a and text[a - 1] in _BESIDE:
+            a -= 1
+        while z < len(text) and text[z] in _BESIDE:
+            z += 1
+        if out and a < out[-1][1]:
+            a = out.pop()[0]
+        out.append((a, z))
+    return out
+
+
+def _parted(fragment: str) -> tuple[set[str], set[str]]:
+    """(words, breaks) of a fragment: every word that it may hold, whichever of its breaks are joined."""
+    found, pieces, last = set(), [], 0
+    pairs = set()
+    for m in _BREAK.finditer(fragment):
+        pieces.append(fragment[last : m.end(1)])
+        pairs.add(f"{m[1].lower()}\t{m[2].lower()}")
+        last = m.end()
+    pieces.append(fragment[last:])
+    for i in range(len(pieces)):
+        joined = ""
+        for p in pieces[i:]:
+            joined += p
+            found.update(_words(joined.lower()))
+            if len(joined) > 64 * WORD_LENGTH:  # no word that long is corrected
+                break
+    return found, pairs
+
+
+_FIRST = "k1 bigint, k2 bigint, rec string, rec_uid bigint, part string, kinds array<string>, breaks array<string>, forms array<struct<kind:string,form:string,broken:boolean>>"
+
+
+def _find(shared, every: bool):
+    """For each text that may have noise (`every`: for any that may have a correction): the kinds that need no correction, its fragments with breaks, and the forms that may have one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        screen = Screen(*shared.value)
+        for b in batches:
+            texts, kinds, pieces, words, broken, pairs = [], [], [], [], [], []
+            for text, name, page, cover in zip(b["text"], b["name"], b["page"], b["cover"]):
+                text, k = edge_lines(_light(text), name or "", page, cover)
+                if _UNREADABLE.search(text):
+                    k.add("misread")
+                spans = fragments(text)
+                inside: set[str] = set()
+                two: set[str] = set()
+                rest = text
+                if spans:
+                    for a, z in reversed(spans):
+                        found, at = _parted(text[a:z])
+                        inside |= found
+                        two |= at
+                        rest = f"{rest[:a]}\x00{rest[z:]}"
+                texts.append(text)
+                kinds.append(k)
+                pieces.append([text[a:z] for a, z in spans])
+                words.append(set(_words(rest.lower())))
+                broken.append(inside)
+                pairs.append(two)
+            maybe = screen.words(set().union(*words, *broken, *pairs))
+            signs, always = screen.signs(texts)
+            rows = []
+            for i, k in enumerate(kinds):
+                if always[i]:
+                    k.add("misread")
+                forms = [("s", str(s), False) for s in signs[i]] + [("w", w, False) for w in words[i] & maybe] + [("w", w, True) for w in broken[i] & maybe] + [("h", p, True) for p in pairs[i] & maybe]
+                if forms or not every and (k or pieces[i]):
+                    rows.append((b["k1"].iloc[i], b["k2"].iloc[i], b["rec"].iloc[i], b["rec_uid"].iloc[i], b["part"].iloc[i], sorted(k), pieces[i], [dict(zip(("kind", "form", "broken"), f)) for f in forms]))
+            yield pd.DataFrame(rows, columns=["k1", "k2", "rec", "rec_uid", "part", "kinds", "breaks", "forms"])
+
+    return run
+
+
+def _join_breaks(text: str, own: set[str]) -> tuple[str, bool]:
+    """The text with its broken words joined unless the mark is the word's own, and whether there were any."""
+    joined = False
+
+    def one(m: re.Match) -> str:
+        nonlocal joined
+        if f"{m[1].lower()}\t{m[2].lower()}" in own:
+            return m[0]
+        joined = True
+        return m[1]
+
+    return (_BREAK.sub(one, text), joined) if _MAY_BREAK.search(text) else (text, False)
+
+
+NOISE = "rec string, rec_uid bigint, part string, kinds array<string>"
+
+
+def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Kinds of each text from what was found in it and which forms do have a correction."""
+    for b in batches:
+        out = []
+        for kinds, pieces, known in zip(b["kinds"], b["breaks"], b["known"]):
+            k = set(kinds)
+            own = {x["form"] for x in known if x["kind"] == "h"}
+            inside = {x["form"] for x in known if x["kind"] == "w" and x["broken"]}
+            if any(x["kind"] == "s" or x["kind"] == "w" and not x["broken"] for x in known):
+                k.add("misread")
+            for p in pieces:
+                text, joined = _join_breaks(p, own)
+                if joined:
+                    k.add("hyphen")
+                if inside and inside.intersection(_words(text.lower())):
+                    k.add("misread")
+            out.append(sorted(k))
+        b["kinds"] = out
+        yield b.loc[[bool(k) for k in out], ["rec", "rec_uid", "part", "kinds"]]
+
+
+def _repaired(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, lone = shared.value
+        for b in batches:
+            texts, all_kinds = [], []
+            for text, name, page, cover, known in zip(b["text"], b["name"], b["page"], b["cover"], b["known"]):
+                text, k = edge_lines(_light(text), name or "", page, cover)
+                if _UNREADABLE.search(text):
+                    k.add("misread")
+                known = [] if known is None else known
+                text, joined = _join_breaks(text, {x["form"] for x in known if x["kind"] == "h"})
+                if joined:
+                    k.add("hyphen")
+                signs = {int(x["form"]): int(x["right"]) for x in known if x["kind"] == "s"}
+                if signs or lone:
+                    turned = _repair_signs(text, signs, lone)
+                    if turned != text:
+                        k.add("misread")
+                        text = turned
+                words = {x["form"]: x["right"] for x in known if x["kind"] == "w"}
+                if words:
+                    turned = _LATIN_ANY_CASE.sub(lambda m: _in_case(words[m[0].lower()], m[0]) if m[0].lower() in words else m[0], text)
+                    if turned != text:
+                        k.add("misread")
+                        text = turned
+                texts.append(paragraphs(text))
+                all_kinds.append(sorted(k))
+            b["text"], b["kinds"] = texts, all_kinds
+            yield b[["rec", "rec_uid", "part", "kinds", "text"]]
+
+    return run
+
+
+def _in_case(word: str, like: str) -> str:
+    return word.upper() if len(like) > 1 and like.isupper() else word.capitalize() if like[:1].isupper() else word
 
-    def repair_signs(self, text: str, wrong: set) -> str:
-        out = list(text)
-        signs = f"\x00{text}\x00"
-        flat = lambda c: 48 if "0" <= c <= "9" else 97 if c.isascii() and c.isalpha() else ord(c)
-        for i, (a, b, c) in enumerate(zip(signs, signs[1:], signs[2:])):
-            if "一" <= b <= "鿿":
-                k = (flat(a) << 42) | (ord(b) << 21) | flat(c)
-                k = k if k in wrong else ord(b) << 21
-                if k in wrong:
-                    out[i] = chr(int(self.right[np.searchsorted(self.signs, k)]))
-        return "".join(out)
+
+def _repair_signs(text: str, wrong: dict[int, int], lone: dict[int, int]) -> str:
+    """All wrong ideographs of the text replaced at once: a neighbour that is itself wrong counts as it was read."""
+    if not wrong and not any(ord(c) in lone for c in text):
+        return text
+    out = list(text)
+    signs = f"\x00{text}\x00"
+    flat = lambda c: 48 if "0" <= c <= "9" else 97 if c.isascii() and c.isalpha() else ord(c)
+    for i, (a, b, c) in enumerate(zip(signs, signs[1:], signs[2:])):
+        if "一" <= b <= "鿿":
+            right = wrong.get((flat(a) << 42) | (ord(b) << 21) | flat(c), lone.get(ord(b)))
+            if right is not None:
+                out[i] = chr(right)
+    return "".join(out)
 
 
 def paragraphs(text: str) -> str:
@@ -331,91 +580,40 @@ def paragraphs(text: str) -> str:
     return out
 
 
-def _apply(shared, first: bool, hyphens: tuple[int, int] | None, with_text: bool):
-    """One pass: edge lines and unreadable signs if it is the first, breaks that fall in part hyphens[0] of hyphens[1], and the corrections that it takes along."""
+def _prepared(records: DataFrame) -> DataFrame:
+    rows = records.filter("text <> ''").select("rec", F.col("rec_uid").cast("bigint").alias("rec_uid"), "part", "text", "name", F.col("page").cast("int").alias("page"), F.coalesce("cover", F.lit(False)).alias("cover"))
+    every = ["rec", "rec_uid", "part", "text", "name", "page", "cover"]
+    return rows.withColumn("k1", F.xxhash64(*every)).withColumn("k2", F.xxhash64(F.lit(1), *reversed(every)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fix = Corrections(*shared.value)
 
-        def mine(one: str, two: str) -> bool:
-            return hyphens is not None and zlib.crc32(f"{one}\t{two}".encode()) % hyphens[1] == hyphens[0] and (one, two) not in fix.hyphens
+def _known(rows: DataFrame, every: bool, bits: int) -> tuple[DataFrame, object]:
+    """(found rows of `_find` with the corrections that their forms have, what was broadcast). Equal texts of one record come once."""
+    table, lone = corrections(statistics(rows))
+    shared = rows.sparkSession.sparkContext.broadcast(_screen(table, lone, bits))
+    first = rows.mapInPandas(_find(shared, every), _FIRST)
+    each = first.select("*", F.explode_outer("forms").alias("x")).select("k1", "k2", "rec", "rec_uid", "part", "kinds", "breaks", "x.*")
+    j = each.join(table.withColumnRenamed("right", "_right"), ["kind", "form"], "left")
+    known = F.collect_set(F.when(F.col("_right").isNotNull(), F.struct("kind", "form", "broken", F.col("_right").alias("right")))).alias("known")
+    return j.groupBy("k1", "k2", "rec", "rec_uid", "part").agg(F.first("kinds").alias("kinds"), F.first("breaks").alias("breaks"), known), shared
 
-        for b in batches:
-            texts, kinds = [], []
-            for text, name, page, cover, had in zip(b["text"], b["name"], b["page"], b["cover"], b["kinds"]):
-                k = set(had)
-                if first:
-                    text, k = edge_lines(_light(text), name or "", page, cover)
-                    if _UNREADABLE.search(text):
-                        k.add("misread")
-                if hyphens is not None and any(m in text for m in MARK):
-                    if any(mine(*pair) for pair in breaks(text)):
-                        k.add("hyphen")
-                    text = _BREAK.sub(lambda m: m[1] if mine(m[1].lower(), m[2].lower()) else m[0], text)
-                texts.append(text)
-                kinds.append(k)
-            for i, (text, wrong) in enumerate(zip(texts, fix.wrong_signs(texts))):
-                if wrong:
-                    kinds[i].add("misread")
-                    if with_text:
-                        texts[i] = text = fix.repair_signs(text, wrong)
-                bad = {w for w in _words(text.lower()) if w in fix.words} if fix.words else ()
-                if bad:
-                    kinds[i].add("misread")
-                    for w in bad if with_text else ():
-                        texts[i] = re.sub(rf"(?<![^\W_]){re.escape(w)}(?![^\W_])", lambda m: fix.words[m[0].lower()].capitalize() if m[0][:1].isupper() else fix.words[m[0].lower()], texts[i], flags=re.I)
-            b["text"] = texts if with_text else ""
-            b["kinds"] = [sorted(k) for k in kinds]
-            yield b[["rec", "rec_uid", "part", "name", "page", "cover", "kinds", "text"]]
-
-    return run
 
+def noise(records: DataFrame, bits: int = BITS) -> DataFrame:
+    """(rec, rec_uid, part, kinds): what noise each record has; records without any give no row, equal rows come once. Input and NULLs as in `repair`."""
+    found, _ = _known(_prepared(records), False, bits)
+    return found.select("rec", "rec_uid", "part", "kinds", "breaks", "known").mapInPandas(_judge, NOISE)
 
-STATE = "rec string, rec_uid bigint, part string, name string, page int, cover boolean, kinds array<string>, text string"
 
-
-def repair(records: DataFrame, with_text: bool = True, block: int = BLOCK) -> DataFrame:
-    """(rec, rec_uid, part, kinds, text): what noise each record has, and its text as continuous paragraphs (empty if not asked for).
+def repair(records: DataFrame, bits: int = BITS) -> DataFrame:
+    """(rec, rec_uid, part, kinds, text): what noise each record has, and its text as continuous paragraphs.
 
     `records`: rec, rec_uid, part, text, name (journal), page (number), cover (whether it is a cover, whose title is no header).
     NULL and empty texts give no row; a NULL name or page means that no header or page number can be told; repeated rows come again.
-    Corrections are collected in blocks of about `block` rows at most; beyond one block each takes two passes over the texts.
+    `bits` (a power of two, 2^15 at least) is the size of the bit table; it changes the work, never the rows.
     """
-    rows = records.filter("text <> ''").select("rec", F.col("rec_uid").cast("bigint").alias("rec_uid"), "part", "text", "name", F.col("page").cast("int").alias("page"), F.coalesce("cover", F.lit(False)).alias("cover"))
-    stats = statistics(rows)
-    spark = records.sparkSession
-    words, signs, hyphens = checkpoint(word_corrections(stats)), checkpoint(sign_corrections(stats)), checkpoint(kept_hyphens(stats))
-    parts = max(1, -(-max(words.count(), signs.count(), hyphens.count()) // block))
-    state = rows.withColumn("kinds", F.array().cast("array<string>"))
-
-    def take(d: DataFrame, key: F.Column, i: int) -> list:
-        return d.filter(F.crc32(key) % parts == i).collect() if parts > 1 else d.collect()
-
-    def go(state: DataFrame, first: bool, i: int, joins: bool, corrects: bool) -> DataFrame:
-        w = {r[0]: r[1] for r in take(words, F.col("wrong").cast("binary"), i)} if corrects else {}
-        s = take(signs, F.col("sign").cast("string").cast("binary"), i) if corrects else []
-        h = frozenset((r[0], r[1]) for r in take(hyphens, F.concat_ws("\t", "first", "second").cast("binary"), i)) if joins else frozenset()
-        shared = spark.sparkContext.broadcast((w, np.array([r[0] for r in s], dtype=np.int64), np.array([r[1] for r in s], dtype=np.int64), h))
-        cols = state.select("rec", "rec_uid", "part", "name", "page", "cover", "kinds", "text")
-        return cols.mapInPandas(_apply(shared, first, (i, parts) if joins else None, with_text or parts > 1), STATE)
-
-    if parts == 1:
-        state = go(state, True, 0, True, True)
-    else:  # all words are whole before any is corrected
-        for i in range(parts):
-            state = go(state, i == 0, i, True, False)
-        for i in range(parts):
-            state = go(state, False, i, False, True)
-    out = state.select("rec", "rec_uid", "part", "kinds", "text")
-    if not with_text:
-        return out
-
-    def flow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["text"] = [paragraphs(t) for t in b["text"]]
-            yield b
-
-    return out.mapInPandas(flow, "rec string, rec_uid bigint, part string, kinds array<string>, text string")
+    rows = _prepared(records)
+    found, shared = _known(rows, True, bits)
+    fixes = found.select("k1", "k2", "known").filter(F.size("known") > 0)
+    return rows.join(fixes, ["k1", "k2"], "left").drop("k1", "k2").mapInPandas(_repaired(shared), "rec string, rec_uid bigint, part string, kinds array<string>, text string")
 
 
 MAX_JOURNALS = 200_000
