@@ -38,6 +38,8 @@ LEARNED_WORDS, LEARNED_SHARE, LEARNED_LENGTH = 5, 0.05, 6
 SHORTEST, WORD_LENGTH = 3, 64
 #: A frequent form is at least so many times its rare variant; a word with a figure in it needs less.
 WORD_RATIO, FIGURE_RATIO, SIGN_RATIO, KNOWN_RATIO = 12, 2, 12, 4
+#: How far the rate of a confusion between two usual ideographs may lie from the common one, beside chance (three deviations).
+RATE_SPREAD = 0.15
 #: Bits of the table that tells which forms may have a correction. Its size is fixed (2 MB): with more corrections it lets more forms pass to the join.
 BITS = 1 << 24
 
@@ -274,8 +276,8 @@ def sign_corrections(stats: DataFrame) -> DataFrame:
     """(sign, right): ideographs in their neighbours' company that are read for another one; without neighbours (`sign` holds the middle only) those that are hardly ever right.
 
     The value of a form is that of its three signs by place; less its middle it is that of its surroundings, in which the frequent form and its rare ones meet.
-    A pair (read, right) counts as a confusion if the read form turns up in several of the right form's contexts at the low rate of scanning,
-    or if it is seen hardly anywhere else; two signs that both belong somewhere share few contexts, at other rates.
+    A pair (read, right) counts as a confusion if the read form is seen hardly anywhere else, or if it turns up in several of the right form's contexts at the rate at which scanning
+    strikes, which the pairs of the first sort tell; two signs that both belong somewhere share few contexts, at other rates.
     """
     t = stats.filter("kind = 't'").select("sign", "n")
     mask = (1 << 21) - 1
@@ -292,8 +294,13 @@ def sign_corrections(stats: DataFrame) -> DataFrame:
     han = lambda c: F.col(c).between(_HAN_LOW, _HAN_HIGH)
     fits = ((F.col("lefts") >= 2) | han("left")) & ((F.col("rights") >= 2) | han("beside"))
     share, rate = F.col("seen") / F.col("total_read"), F.col("seen") / F.col("mass")
-    # Scanning strikes a few characters in a thousand, everywhere alike: what stands in a form's contexts more often is a word of its own.
-    known = pair.filter((F.col("total_right") >= 20) & (((F.col("contexts") >= 3) & fits & (rate <= 0.02)) | ((F.col("contexts") >= 2) & (share >= 0.4)) | (share >= 0.7)))
+    # Scanning strikes a few characters in a thousand, everywhere alike: what stands in a form's contexts more or less often is a word of its own.
+    pair = checkpoint(pair)
+    common = pair.filter((share >= 0.9) & (F.col("seen") >= 3) & (F.col("contexts") >= 2)).agg((F.sum("seen") / F.sum("mass")).alias("common"))
+    pair = pair.crossJoin(F.broadcast(common))  # one row
+    due = F.col("common") * F.col("mass")
+    usual = F.coalesce(F.abs(F.col("seen") - due) <= due * RATE_SPREAD + 3 * F.sqrt(due), F.lit(True))
+    known = pair.filter((F.col("total_right") >= 20) & (((F.col("contexts") >= 3) & fits & (rate <= 0.02) & usual) | ((F.col("contexts") >= 2) & (share >= 0.4)) | (share >= 0.7)))
     known = known.select("mid", "right", (share >= 0.4).alias("alone"), ((share >= 0.9) & (F.col("seen") >= 3)).alias("always"))
     got = near.join(known, ["mid", "right"]).filter(F.col("alone") | (F.col("m") >= F.col("n") * SIGN_RATIO))
     # A sign that is hardly ever right is wrong in a context of its own too; it goes without neighbours.
