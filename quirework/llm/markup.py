@@ -17,16 +17,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAGS = "a|abbr|article|aside|b|big|blockquote|body|br|caption|center|cite|code|col|colgroup|dd|del|details|div|dl|dt|em|figcaption|figure|font|footer|form|h[1-6]|head|header|hr|html|i|iframe|img|input|ins|kbd|label|li|link|main|mark|meta|nav|ol|option|p|pre|q|s|samp|script|section|select|small|span|strike|strong|style|sub|summary|sup|svg|table|tbody|td|textarea|tfoot|th|thead|title|tr|tt|u|ul|var|video|wbr"
+# Names of HTML, MathML and wiki tags; LaTeX commands need no list but where nothing tells them from a file path.
+_TAGS = "a|abbr|address|audio|button|canvas|dfn|dialog|fieldset|gallery|legend|map|math|meter|m(?:i|n|o|row|sub|sup|frac|sqrt|text|table|tr|td)|noscript|nowiki|object|optgroup|output|picture|progress|ref|references|rp|rt|ruby|source|template|track|article|aside|b|big|blockquote|body|br|caption|center|cite|code|col|colgroup|dd|del|details|div|dl|dt|em|figcaption|figure|font|footer|form|h[1-6]|head|header|hr|html|i|iframe|img|input|ins|kbd|label|li|link|main|mark|meta|nav|ol|option|p|pre|q|s|samp|script|section|select|small|span|strike|strong|style|sub|summary|sup|svg|table|tbody|td|textarea|tfoot|th|thead|title|tr|tt|u|ul|var|video|wbr"
 _ATTRIBUTE = r"\s+[A-Za-z][\w:-]*\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s\"'<>=]+)"
 TAG = rf"</(?:{_TAGS})\s*>|<(?:{_TAGS})(?:{_ATTRIBUTE})*\s*/?>|<!--"
 ENTITY = r"&(?:[A-Za-z]{2,8}[0-9]{0,2}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+# Commands that count whatever follows them.
 _SYMBOLS = "alpha|beta|gamma|delta|epsilon|eta|theta|lambda|mu|nu|pi|rho|sigma|tau|phi|omega|Delta|Omega|Sigma|pm|times|cdot|leq|geq|approx|infty|partial|sum|int|sqrt|frac|ldots|quad|item|maketitle|noindent|centering|hline|newline"
-COMMAND = rf"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{{|(?<![A-Za-z]:|[\w\\])\\(?:{_SYMBOLS})(?![A-Za-z])|\\\(|\\\)|\\\[|\\\]"
-DOLLARS = r"\$\$|(?<![A-Za-z0-9$])\$[^$\n]*[\\^_{=][^$\n]*\$"
+COMMAND = rf"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{{|(?<![A-Za-z]:|[\w\\])\\(?:{_SYMBOLS})(?![A-Za-z])|(?<![\w\\:/.~])\\[A-Za-z]{{2,}}(?![A-Za-z\\:./])|\\\(|\\\)|\\\[|\\\]"
+DOLLARS = r"\$\$|(?<![A-Za-z0-9$])\$[^$\n]*[\\^_{=][^$\n]*\$|(?<![\w$\\])\$(?=[^\s$])(?=[^$\n]*[A-Za-z])(?=[^$\n]*[-+*/<>])[^$\n]*[^\s$]\$(?![\w$])"
 FENCE = r"(?s)```.*?(?:```|\z)"
-MARKDOWN = r"```|`[^`\n]+`|\*\*[^*\s](?:[^*]*[^*\s])?\*\*|(?<![\w*])\*[^*\s\d](?:[^*\n]*[^*\s])?\*(?![\w*])|!\[[^\]]*\]\([^)]*\)|(?<!\[)\[[^\[\]]+\]\([^()\s]+(?:\s\"[^\"]*\")?\)|~~[^~\n]+~~|(?<!\w)__[^_\s][^_\n]*__(?!\w)"
-MARKDOWN_LINES = r"(?m)^[ ]{0,3}#{1,6}[ \t]+\S|^[ ]{0,3}>[ \t]?(?![ \t]*[0-9.]+[ \t]*[。.,，;；]?[ \t]*\r?$)\S|^[ ]{0,6}[-*+][ \t]+(?![0-9 ]+[-*+]?[ \t]*\r?$)\S|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\r?$"
+MARKDOWN = r"```|`[^`\n]+`|\*\*[^*\s](?:[^*]*[^*\s])?\*\*|(?<![\w*])\*[^*\s\d](?:[^*\n]*[^*\s])?\*(?![\w*])|!\[[^\]]*\]\([^)]*\)|(?<!\[)\[[^\[\]]+\]\([^()\s]+(?:\s\"[^\"]*\")?\)|~~[^~\n]+~~|(?<!\w)__[^_\s][^_\n]*__(?!\w)|(?<![\w\\_])_[^_\s](?:[^_\n]*[^_\s])?_(?![\w_])|<https?://[^\s<>]+>"
+MARKDOWN_LINES = r"(?m)^[ ]{0,3}#{1,6}[ \t]+\S|^[ ]{0,3}>[ \t]?(?![ \t]*[0-9.]+[ \t]*[。.,，;；]?[ \t]*\r?$)\S|^[ ]{0,6}[-*+][ \t]+(?![0-9 ]+[-*+]?[ \t]*\r?$)\S|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\r?$|^[^\n|]*\w[^\n|]*\n(?:={3,}|-{3,})[ \t]*\r?$"
 WIKI = r"\[\[[^\[\]]+\]\]|(?<![\\{}\w])\{\{[^{}]+\}\}|(?<!')'{2,5}(?!')[^'\n]+'{2,5}"
 WIKI_LINES = r"(?m)^[ \t]*(={2,6})[ \t]*[^=\n]+?[ \t]*\1[ \t]*\r?$|^[ \t]*\{\|.*$|^[ \t]*\|\}[ \t]*\r?$"
 #: Characters without width would break a mark apart.
@@ -34,7 +36,7 @@ _INVISIBLE = r"[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]"
 
 
 #: Every mark has one of these; most texts have none and are passed over with one look.
-ANY = r"(?m)[<&`*\[~#>|{'=\\$]|__|---|^[ ]{0,6}[-+][ \t]"
+ANY = r"(?m)[<&`*\[~#>|{'=\\$]|(?<!\w)_|---|^[ ]{0,6}[-+][ \t]"
 
 
 def scan(text: F.Column) -> F.Column:
@@ -73,6 +75,8 @@ _INLINE = [
     (re.compile(r"(?<![\w*])\*([^*\s\d](?:[^*\n]*[^*\s])?)\*(?![\w*])"), r"\1"),
     (re.compile(r"(?<!')'{2,5}(?!')([^'\n]+)'{2,5}"), r"\1"),
     (re.compile(r"~~([^~\n]+)~~"), r"\1"),
+    (re.compile(r"(?<!\w)__([^_\s][^_\n]*)__(?!\w)"), r"\1"),
+    (re.compile(r"(?<![\w\\_])_([^_\s](?:[^_\n]*[^_\s])?)_(?![\w_])"), r"\1"),
     (re.compile(r"`([^`\n]+)`"), r"\1"),
     (re.compile(r"\\(?:cite|ref|label|eqref|footnote)\*?(?:\[[^\]\n]*\])?\{[^{}]*\}"), ""),
     (re.compile(r"\\(?:textbf|textit|emph|underline|texttt|text|mathrm|mbox)\{([^{}]*)\}"), r"\1"),
@@ -80,12 +84,16 @@ _INLINE = [
 _CELL = re.compile(r"(?is)<t[dh](?:\s[^<>]*)?>(.*?)(?=</?t[dhr]\b|</table|\Z)")
 _TAG = re.compile(f"(?i){TAG}")
 _SUB = re.compile(r"(?i)<su([bp])>([^<]*)</su\1>")
+_NOTE = re.compile(r"(?is)<ref(?:\s[^<>]*)?(?:/>|>.*?</ref\s*>)")
+_LINK = re.compile(r"<(https?://[^\s<>]+)>")
+_UNDERLINED = re.compile(r"(?m)^([^\n|]*\w[^\n|]*)\n(?:={3,}|-{3,})[ \t]*\r?$")
 _FORMULA = re.compile(r"(?s)\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\begin\{(equation|align|gather|displaymath)\*?\}(.+?)\\end\{\3\*?\}")
-_SHORT_FORMULA = re.compile(r"(?<![A-Za-z0-9$])\$([^$\n]*[\\^_{=][^$\n]*)\$|\\\((.+?)\\\)")
+_SHORT_FORMULA = re.compile(r"(?<![A-Za-z0-9$])\$([^$\n]*[\\^_{=][^$\n]*|(?=[^\s$])(?=[^$\n]*[A-Za-z])(?=[^$\n]*[-+*/<>])[^$\n]*[^\s$])\$(?!\d)|\\\((.+?)\\\)")
 
 
 def _inline(s: str) -> str:
     s = _SHORT_FORMULA.sub(lambda m: (m[1] or m[2]).strip(), s)
+    s = _LINK.sub(r"\1", s)
     s = _SUB.sub(lambda m: ("_" if m[1].lower() == "b" else "^") + m[2], s)
     s = _TAG.sub("", s)
     for pattern, to in _INLINE:
@@ -106,6 +114,8 @@ def convert(text: str) -> list[Segment]:
     s = re.sub(r"(?s)```[^\n`]*\n?(.*?)(?:```|\Z)", lambda m: hold("code", m[1].strip("\n")), s)
     s = re.sub(r"(?is)<pre(?:\s[^<>]*)?>(.*?)</pre\s*>", lambda m: hold("code", html.unescape(_TAG.sub("", m[1])).strip("\n")), s)
     s = _FORMULA.sub(lambda m: hold("formula", " ".join((m[1] or m[2] or m[4]).split())), s)
+    s = _NOTE.sub("", s)
+    s = _UNDERLINED.sub(lambda m: hold("heading", _inline(m[1])), s)
     s = re.sub(r"(?is)<(script|style)(?:\s[^<>]*)?>.*?</\1\s*>|<!--.*?(?:-->|\Z)", "", s)
     s = re.sub(r"(?is)<h([1-6])(?:\s[^<>]*)?>(.*?)</h\1\s*>", lambda m: hold("heading", _inline(m[2])), s)
     s = re.sub(r"(?is)<tr(?:\s[^<>]*)?>(.*?)(?:</tr\s*>|(?=<tr\b)|(?=</table)|\Z)", lambda m: hold("row", "\t".join(_inline(c) for c in _CELL.findall(m[1]))), s)
