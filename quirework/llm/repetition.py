@@ -25,6 +25,8 @@ RUN = 15
 MIN_RUNS = 20
 SHARE = 0.3
 CHUNK = 1000
+#: Rejection bands: fertility as a multiple of what the vocabulary gives for the script, byte-fallback share at most, token entropy as a part of the highest possible at least; all only from so many tokens on.
+FERTILITY, BYTE_SHARE, ENTROPY, FEWEST_TOKENS = (0.4, 1.5), 0.5, 0.5, 20
 
 PROFILE = "id string, field_name string, script string, n_chars int, n_tokens int, chars_per_token double, byte_share double, token_entropy double, token_deficit double, pair_deficit double, repeated_share double"
 _COLUMNS = [c.split()[0] for c in PROFILE.split(", ")]
@@ -115,12 +117,36 @@ def profile(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str =
     return src.mapInPandas(run, PROFILE)
 
 
-def rejected(profiles: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
-    """`profiles` with the rejection bands of its script, taken from all rows: fertility or token entropy outside the central share, byte-fallback share above it, or repeated_share of SHARE and more.
+def bands(tokenizer_dir: str = TOKENIZER_DIR) -> dict[str, tuple[float, float]]:
+    """script -> (least, most) characters per token, from the vocabulary alone.
 
-    One column `reasons` is added (empty if none). The bands are one row per script, so their join side has at most as many rows as there are scripts.
+    Pieces are numbered by how early they were merged, so 1 / rank stands for how often one is met; the mean length of a script's pieces so weighted is its typical fertility.
+    Scripts without pieces of their own (and texts without letters) have that of all pieces.
     """
-    q = lambda c, p: F.percentile_approx(c, p, 10_000)
-    bands = profiles.groupBy(F.col("script").alias("_script")).agg(q("chars_per_token", low).alias("_fl"), q("chars_per_token", high).alias("_fh"), q("byte_share", high).alias("_bh"), q("token_deficit", high).alias("_eh"))
-    why = F.array_compact(F.array(F.when(~F.col("chars_per_token").between(F.col("_fl"), F.col("_fh")), F.lit("fertility")), F.when(F.col("byte_share") > F.col("_bh"), F.lit("byte_fallback")), F.when(F.col("token_deficit") > F.col("_eh"), F.lit("entropy")), F.when(F.col("repeated_share") >= SHARE, F.lit("repeated"))))
-    return profiles.join(F.broadcast(bands), profiles["script"] == bands["_script"]).withColumn("reasons", why).drop("_script", "_fl", "_fh", "_bh", "_eh")
+    sp, is_byte = model(tokenizer_dir)
+    length: dict[str, float] = {}
+    weight: dict[str, float] = {}
+    for i in range(sp.get_piece_size()):
+        if not (is_byte[i] or sp.is_control(i) or sp.is_unknown(i)):
+            piece = sp.id_to_piece(i).replace("\u2581", " ")
+            for s in (script_of(piece), "other"):
+                length[s] = length.get(s, 0.0) + len(piece) / (i + 1)
+                weight[s] = weight.get(s, 0.0) + 1 / (i + 1)
+    typical = {s: length[s] / weight[s] for s in length}
+    return {s: (typical.get(s, typical["other"]) * FERTILITY[0], typical.get(s, typical["other"]) * FERTILITY[1]) for s in (*(name for name, _ in _SCRIPTS), "other")}
+
+
+def rejected(profiles: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
+    """`profiles` with a column `reasons` (empty if none): fertility outside the band of its script, byte-fallback share or token entropy outside the common band, or repeated_share of SHARE and more.
+
+    The bands come from the vocabulary and from fixed parameters, so a text is judged alike in every table. Texts of fewer than FEWEST_TOKENS tokens can only be repeated.
+    """
+    table = bands(tokenizer_dir)
+    low, high = (F.create_map(*[F.lit(x) for s, b in table.items() for x in (s, b[k])])[F.col("script")] for k in (0, 1))
+    told = F.col("n_tokens") >= FEWEST_TOKENS
+    return profiles.withColumn("reasons", F.array_compact(F.array(
+        F.when(told & ~F.col("chars_per_token").between(low, high), F.lit("fertility")),
+        F.when(told & (F.col("byte_share") > BYTE_SHARE), F.lit("byte_fallback")),
+        F.when(told & (F.col("token_entropy") < F.log2("n_tokens") * ENTROPY), F.lit("entropy")),
+        F.when(F.col("repeated_share") >= SHARE, F.lit("repeated")),
+    )))

@@ -192,6 +192,20 @@ def test_repeats_in_few_long_tokens_are_found(spark):
     assert min(r.pair_deficit for r in got if int(r.id) < len(texts)) < 0.25
 
 
+def test_bands_judge_a_text_alike_in_every_table(spark):
+    rng = random.Random(8)
+    usual = ["The strain bridge recorded the load every ten minutes, and both methods indicate that the fine particles blocked the pores of the filter during the test.", "试验选取回填土样品作为对象，再利用热电偶测定含水率，改进后的配电馈线连续工作多天，偏差明显改善。"]
+    odd = {"fertility": "x9 q7 z3 k8 w1 " * 2 + "j4 v6 b2 n5 m0 y7 h3 g1 f8 d6 s2", "byte_fallback": "".join(chr(0x12000 + rng.randrange(900)) for _ in range(60)), "entropy": "a b " * 200}
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate([*usual, *odd.values()])], "id string, answer string")
+    got = {int(r.id): set(r.reasons) for r in repetition.rejected(repetition.profile(df, "id", ["answer"])).collect()}
+    assert got[0] == got[1] == set()
+    for i, (reason, text) in enumerate(odd.items(), 2):
+        assert reason in got[i]
+        alone = repetition.rejected(repetition.profile(df.filter(F.col("id") == str(i)), "id", ["answer"])).first()
+        assert set(alone.reasons) == got[i]
+    assert set(repetition.bands()) == {"kana", "han", "cyrillic", "latin", "other"}
+
+
 # Pairs
 
 
