@@ -10,8 +10,6 @@ leaves at most its last containers underfilled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,21 +18,6 @@ from pyspark.sql import functions as F
 #: Items per shard. A shard's working set is a few bytes an item, and its loss a few containers.
 SHARD = 50_000
 PACKED = "doc_id bigint, piece int, n_pieces int, char_start bigint, n_chars bigint, tokens int, container bigint"
-_ITEM = "doc_id bigint, piece int, n_pieces int, char_start bigint, n_chars bigint, tokens int"
-
-
-def cut(text: str, capacity: int) -> list[tuple[int, int, int]]:
-    """(first character, characters, tokens) of pieces of at most `capacity` tokens each, never inside a code point."""
-    raw = text.encode("utf-8", "surrogatepass")
-    out, at, chars, room = [], 0, 0, capacity - 1
-    while at < len(raw):
-        end = min(len(raw), at + room)
-        while end < len(raw) and raw[end] & 0xC0 == 0x80:
-            end -= 1
-        n = len(raw[at:end].decode("utf-8", "surrogatepass"))
-        out.append((chars, n, end - at + 1))
-        at, chars = end, chars + n
-    return out
 
 
 def best_two_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
@@ -96,25 +79,42 @@ def best_two_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     return home, bins
 
 
+def _pieces(raw: F.Column, room: int) -> F.Column:
+    """Array of (bytes before, bytes) of the pieces of a UTF-8 text of at most `room` bytes each, in the JVM. A piece never ends inside a code point, which has three further bytes at most."""
+    total = F.length(raw)
+
+    def inside(at: F.Column) -> F.Column:
+        return F.hex(F.substring(raw, at + 1, F.lit(1))).between("80", "BF")
+
+    def step(acc: F.Column, _: F.Column) -> F.Column:
+        start = F.when(F.size(acc) > 0, F.element_at(acc, -1)["at"] + F.element_at(acc, -1)["n"]).otherwise(F.lit(0))
+        full = F.least(total, start + room)
+        end = F.when((full == total) | ~inside(full), full).when(~inside(full - 1), full - 1).when(~inside(full - 2), full - 2).otherwise(full - 3)
+        return F.when(start >= total, acc).otherwise(F.concat(acc, F.array(F.struct(start.alias("at"), (end - start).alias("n")))))
+
+    most = F.ceil(total / F.lit(room - 3)).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), F.array().cast("array<struct<at:int,n:int>>"), step)
+
+
 def pack(docs: DataFrame, capacity: int, doc_id: str = "doc_id", text: str = "text", shard: int = SHARD) -> DataFrame:
     """The container of each document, or of each piece of a document larger than `capacity` tokens; columns as in PACKED.
 
     NULL texts and NULL ids are left out; an empty text is one token; repeated ids are packed as often as they come;
     containers are numbered within shards (shard * 2^32 + number), so numbers have gaps. An empty table gives no rows.
+    The texts are read once and stay in the JVM; the number of shards comes from the table's row count, which Parquet tells without reading a column.
     """
     if capacity < 5:
         raise ValueError("a container must hold one code point and the end token")
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("_t")).filter("doc_id IS NOT NULL AND _t IS NOT NULL")
-    sized = src.withColumn("_n", F.octet_length("_t") + 1)
-    whole = sized.filter(F.col("_n") <= capacity).select("doc_id", F.lit(0).alias("piece"), F.lit(1).alias("n_pieces"), F.lit(0).cast("bigint").alias("char_start"), F.length("_t").cast("bigint").alias("n_chars"), F.col("_n").cast("int").alias("tokens"))
-
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(d, i, len(c), *x) for d, t in zip(b["doc_id"], b["_t"]) for c in [cut(t, capacity)] for i, x in enumerate(c)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ITEM.split(", ")])
-
-    cutted = sized.filter(F.col("_n") > capacity).select("doc_id", "_t").mapInPandas(pieces, _ITEM)
-    shards = max(1, -(-src.count() // shard))
+    bytes_, room = F.octet_length("_t"), capacity - 1
+    raw = F.encode("_t", "UTF-8")
+    cut = F.when(bytes_ > room, _pieces(raw, room)).otherwise(F.array(F.struct(F.lit(0).alias("at"), bytes_.alias("n"))))
+    # the characters of each piece, and of those before it
+    sized = F.transform(cut, lambda x: F.struct(x["n"].alias("n"), F.when(bytes_ > room, F.length(F.decode(F.substring(raw, x["at"] + 1, x["n"]), "UTF-8"))).otherwise(F.length("_t")).cast("bigint").alias("chars")))
+    each = src.select("doc_id", sized.alias("p")).select("doc_id", F.size("p").alias("n_pieces"), "p", F.posexplode("p").alias("piece", "x"))
+    before = F.aggregate(F.slice("p", 1, F.col("piece")), F.lit(0).cast("bigint"), lambda a, x: a + x["chars"])
+    items = each.select("doc_id", "piece", "n_pieces", before.alias("char_start"), F.col("x.chars").alias("n_chars"), (F.col("x.n") + 1).cast("int").alias("tokens"))
+    shards = max(1, -(-docs.count() // shard))
 
     def fill(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
@@ -122,5 +122,4 @@ def pack(docs: DataFrame, capacity: int, doc_id: str = "doc_id", text: str = "te
         b["container"] = home + (int(key[0]) << 32)
         return b[[c.split()[0] for c in PACKED.split(", ")]]
 
-    items = whole.unionByName(cutted).withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    return items.groupBy("_shard").applyInPandas(fill, PACKED)
+    return items.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))).groupBy("_shard").applyInPandas(fill, PACKED)
