@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.sources.tables import bit_table, screened
+
 #: A mask keeps four blocks of three tokens: three that both masks share, and one of LAST each; its window ends with that.
 BLOCK, SHARED, LAST = 3, (0, 3, 7), (11, 14)
 SPANS = tuple(x + BLOCK for x in LAST)
@@ -30,8 +32,10 @@ MIN_RUN = 40
 #: Substituted share at most, within a tolerant overlap, and its least length.
 TOLERANCE = 0.1
 MIN_TOLERANT = 40
-#: Items whose comparable text together is longer than this (characters) take the join instead of the broadcast.
+#: Items whose comparable text together is longer than this (characters) take the join instead of the broadcast; the rows are the same.
 MAX_BROADCAST_CHARS = 4_000_000
+#: In the join, bits of the table that tells which seeds some item has (16 MB, whatever the items), and parts that every seed is split into, as stock wording may be in a third of all rows.
+SCREEN_BITS, PARTS = 1 << 27, 16
 
 _SKIP = re.compile(r"[\W_]+")
 OVERLAPS = "doc_id bigint, item_id bigint, exact_run int, tolerant_run int, substitutions int, doc_start int, item_start int"
@@ -115,6 +119,16 @@ class SeedIndex:
         return which, self.owner[at], self.place[at]
 
 
+_indexed: list = [None, None]
+
+
+def index_of(items: tuple) -> SeedIndex:
+    """The index of broadcast items, built once by each Python worker and not by each task: the value of a broadcast is one object there."""
+    if _indexed[0] is not items:
+        _indexed[:] = [items, SeedIndex(*items)]
+    return _indexed[1]
+
+
 def compare(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int, int, int]:
     """Along the diagonal doc position = item position + shift: (longest equal run, longest tolerant overlap, its substitutions, its start in the document, in the item)."""
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
@@ -161,7 +175,7 @@ def _overlaps_broadcast(docs: DataFrame, items: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [comparable(r[1]) for r in rows]))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = SeedIndex(*shared.value)
+        index = index_of(shared.value)
         for batch in batches:
             found = []
             for doc, text in zip(batch["doc_id"].to_numpy(), batch["text"]):
@@ -200,20 +214,27 @@ def _doc_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"doc_id": doc, "doc_pos": np.arange(len(row)), "seed": row})
 
 
-def _overlaps_joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The same rows by a shuffle join on the seeds, for item sets of any size."""
+def _overlaps_joined(docs: DataFrame, items: DataFrame, bits: int = SCREEN_BITS, parts: int = PARTS) -> DataFrame:
+    """The same rows by a shuffle join on the seeds, for item sets of any size.
+
+    Only seeds whose bit is set are shuffled. A seed's documents are spread over `parts` keys and its items copied to each, so that no seed is one task's. Then each document's text meets each of its items once, with all alignments to compare.
+    """
     item_seeds = items.mapInPandas(_item_seeds, "item_id bigint, item_pos int, seed bigint")
-    doc_seeds = docs.mapInPandas(_doc_seeds, HITS)
-    hits = doc_seeds.join(item_seeds, "seed").select("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).distinct()
+    doc_seeds = screened(docs.mapInPandas(_doc_seeds, HITS), F.col("seed"), bit_table(item_seeds, "seed", bits), bits).filter("_maybe")
+    spread = doc_seeds.select("doc_id", "doc_pos", "seed", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"))
+    copied = item_seeds.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    hits = spread.join(copied, ["seed", "part"]).groupBy("doc_id", "item_id").agg(F.collect_set(F.col("doc_pos") - F.col("item_pos")).alias("shifts"))
     both = hits.join(docs.dropDuplicates(["doc_id"]), "doc_id").join(items, "item_id")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = []
-            for doc, item, shift, text, item_text in zip(b["doc_id"], b["item_id"], b["shift"], b["text"], b["item_text"]):
-                r = compare(codes(comparable(text)), codes(comparable(item_text)), shift)
-                if _keep(r[0], r[1]):
-                    found.append((doc, item, *r))
+            for doc, item, shifts, text, item_text in zip(b["doc_id"], b["item_id"], b["shifts"], b["text"], b["item_text"]):
+                one, two = codes(comparable(text)), codes(comparable(item_text))
+                for shift in shifts:
+                    r = compare(one, two, int(shift))
+                    if _keep(r[0], r[1]):
+                        found.append((doc, item, *r))
             yield pd.DataFrame(found, columns=[c.split()[0] for c in OVERLAPS.split(", ")])
 
     return both.mapInPandas(verify, OVERLAPS)
