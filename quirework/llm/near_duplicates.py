@@ -2,9 +2,9 @@
 
 The similarity is that of two sets of n-grams (common / in either). Exact copies are folded into one
 representative first. The sparse document x n-gram incidence matrix is multiplied with its transpose in blocks
-only: a block holds representatives that agree in one band of ROWS min-hash values, over BANDS bands. Within
-the blocks a pair is dropped by its sizes alone (the smaller must have at least `threshold` of the larger),
-and for the rest overlap counts are accumulated and pairs below threshold / (1 + threshold) * (sizes) dropped.
+only: a block holds representatives that agree in one band of ROWS min-hash values, over BANDS bands; a large block is
+multiplied in cells. Within the blocks a pair is dropped by its sizes alone (the smaller must have at least `threshold` of the larger)
+before any text is fetched, and for the rest overlap counts are accumulated and pairs below threshold / (1 + threshold) * (sizes) dropped.
 With 256 hash values, 64 bands of 8 of them (drawn once) a pair of similarity 0.8 shares no block with a probability of
 1.8e-4, one of 0.82 of 3.1e-5, one of 0.85 of 1.1e-6 (binomial in the equal hash values); pairs of 0.3 share one with 4e-3.
 """
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,6 +25,8 @@ from quirework.operators.components import least_labels
 N = 3
 THRESHOLD = 0.8
 HASHES, ROWS, BANDS = 256, 8, 64
+#: A block of more members is multiplied in cells of about so many by so many.
+CELL = 1000
 _DROP = re.compile(r"\W+")
 _RNG = np.random.default_rng(20240607)
 _A = (_RNG.integers(1, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -70,10 +72,11 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for at in range(0, len(b), 2000):
             part = b.iloc[at : at + 2000]
-            keys = [band_keys(g) for g in map(grams, part["clean"]) if len(g)]
+            rows = [g for g in map(grams, part["clean"]) if len(g)]
             reps = [r for r, t in zip(part["rep"], part["clean"]) if len(t) >= N]
-            if keys:
-                yield pd.DataFrame({"rep": np.repeat(np.array(reps, dtype=np.int64), BANDS), "block": np.concatenate(keys)})
+            if rows:
+                size = np.array([len(g) for g in rows], dtype=np.int32)
+                yield pd.DataFrame({"rep": np.repeat(np.array(reps, dtype=np.int64), BANDS), "size": np.repeat(size, BANDS), "block": np.concatenate([band_keys(g) for g in rows])})
 
 
 def _overlap(threshold: float):
@@ -101,6 +104,22 @@ def _parts(df: DataFrame, id_col: str, head: str, body: str, min_chars: int) ->
     return src.mapInPandas(_prepare, "id string, clean string, n_body int").filter(F.col("n_body") >= min_chars).withColumn("rep", F.xxhash64("clean"))
 
 
+def meet(rows: DataFrame, key: str, item: str, fits: Column | None = None, cell: int = CELL) -> DataFrame:
+    """Each two different items of a key once, (x, y) with x.item < y.item, as structs of the columns of `rows` without the key; `fits` may name columns as x.c and y.c.
+
+    Keys of one item are dropped where they are counted. A key of many items is cut into parts of about `cell`, and each two of its parts meet in a key of their own: no task has a whole hot
+    key, and none has more than cell x cell pairs of it on average. Items should come once in a key.
+    """
+    other = [c for c in rows.columns if c != key]
+    counted = rows.withColumn("_n", F.count("*").over(W.partitionBy(key))).filter("_n > 1")
+    parts = F.ceil(F.col("_n") / cell).cast("int")
+    of = counted.select(key, F.struct(*other).alias("r"), F.pmod(F.xxhash64(item), parts).cast("int").alias("own"), F.sequence(F.lit(0), parts - 1).alias("parts"))
+    x = of.select(key, F.col("r").alias("x"), F.col("own").alias("i"), F.explode("parts").alias("j"))
+    y = of.select(key, F.col("r").alias("y"), F.explode("parts").alias("i"), F.col("own").alias("j"))
+    two = x.join(y, [key, "i", "j"]).filter(F.col(f"x.{item}") < F.col(f"y.{item}"))
+    return (two if fits is None else two.filter(fits)).select("x", "y")
+
+
 def links(df: DataFrame, id_col: str, head: str, body: str, min_chars: int = 200, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(members, links): members has one row (id, rep) per different id and text, links the pairs rep_a < rep_b of different texts whose similarity is at least `threshold`.
 
@@ -110,11 +129,9 @@ def links(df: DataFrame, id_col: str, head: str, body: str, min_chars: int = 200
     parts = _parts(df, id_col, head, body, min_chars)
     members = parts.select("id", "rep").distinct()
     reps = parts.groupBy("rep").agg(F.first("clean").alias("clean"))
-    blocks = reps.mapInPandas(_sign, "rep bigint, block bigint")
-    # Blocks of one are most; they go before the join, in the partitioning that the join uses too.
-    shared = blocks.withColumn("_n", F.count("*").over(W.partitionBy("block"))).filter("_n > 1").drop("_n")
-    a, b = shared.withColumnRenamed("rep", "rep_a"), shared.withColumnRenamed("rep", "rep_b")
-    pairs = a.join(b, "block").filter("rep_a < rep_b").select("rep_a", "rep_b").distinct()
+    blocks = reps.mapInPandas(_sign, "rep bigint, size int, block bigint")
+    near = F.least("x.size", "y.size") >= F.lit(threshold) * F.greatest("x.size", "y.size")
+    pairs = meet(blocks, "block", "rep", near).select(F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b")).distinct()
     both = pairs.join(reps.select(F.col("rep").alias("rep_a"), F.col("clean").alias("clean_a")), "rep_a").join(reps.select(F.col("rep").alias("rep_b"), F.col("clean").alias("clean_b")), "rep_b")
     return members, both.mapInPandas(_overlap(threshold), "rep_a bigint, rep_b bigint, similarity double")
 
@@ -123,12 +140,12 @@ def pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b: all ids of linked texts, and ids of one text."""
     m = lambda s: members.select(F.col("id").alias(f"_id_{s}"), F.col("rep").alias(f"rep_{s}"))
     far = linked.join(m("a"), "rep_a").join(m("b"), "rep_b").select("_id_a", "_id_b")
-    near = m("a").join(m("b"), F.col("rep_a") == F.col("rep_b")).filter("_id_a < _id_b").select("_id_a", "_id_b")
+    near = meet(members, "rep", "id").select(F.col("x.id").alias("_id_a"), F.col("y.id").alias("_id_b"))
     return far.filter("_id_a <> _id_b").unionByName(near).select(F.least("_id_a", "_id_b").alias("id_a"), F.greatest("_id_a", "_id_b").alias("id_b")).distinct()
 
 
 def classes(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """One row per id: rep, class_id (the least rep that links lead to) and n_links (links of its text)."""
+    """One row per id and text: rep, class_id (the least rep that links lead to) and n_links (links of its text to other texts). Copies are counted by their common text, never in pairs."""
     label = least_labels(linked.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).withColumnRenamed("u", "rep")
     ends = linked.select(F.explode(F.array("rep_a", "rep_b")).alias("rep"))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
