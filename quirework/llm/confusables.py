@@ -188,10 +188,10 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def examine(records: DataFrame) -> DataFrame:
     """`records` (rec, rec_uid, field_name, text) in one form; columns as in CASES.
 
-    NULL texts give no row, empty ones stay empty; repeated rows come once. Rows of usual characters only don't leave the JVM.
+    NULL texts give no row, empty ones stay empty; repeated rows come again. Rows of usual characters only don't leave the JVM.
     Doubtful whole-script tokens are settled with the words of all records: a skeleton that is a word elsewhere makes its record a 'lookalike'.
     """
-    rows = records.select("rec", F.col("rec_uid").cast("bigint").alias("rec_uid"), "field_name", "text").filter("text IS NOT NULL").distinct()
+    rows = records.select("rec", F.col("rec_uid").cast("bigint").alias("rec_uid"), "field_name", "text").filter("text IS NOT NULL")
     odd = F.col("text").rlike(UNUSUAL)
     none = F.array().cast("array<string>")
     plain = rows.filter(~odd).withColumn("disguises", none).withColumn("doubtful", none)

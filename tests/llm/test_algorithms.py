@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from quirework.llm import leakage, near_duplicates, packing, splitting
 
 
@@ -222,3 +224,32 @@ def test_tolerant_overlaps_against_brute_force(spark):
     dd, ii = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string")
     assert {(r.doc_id, r.item_id): r.tolerant_run for r in leakage.overlaps(dd, ii).collect()} == want
     assert {(r.doc_id, r.item_id) for r in leakage._overlaps_joined(dd, ii).collect()} == set(want)
+
+
+def test_hot_keys_are_met_in_cells(spark):
+    """A key with most of the rows gives each two of its items once, and no cell has many."""
+    rows = [(i, 0 if i % 4 else i, i % 5) for i in range(400)] + [(1000 + i, 7777, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "item long, k long, size int")
+    by = {}
+    for i, k, s in rows:
+        by.setdefault(k, []).append((i, s))
+    want = {(a, b) for l in by.values() for a, s in l for b, t in l if a < b and s == t}
+    for cell in (10, 1000):
+        got = [(r.x["item"], r.y["item"]) for r in near_duplicates.meet(df, "k", "item", F.col("x.size") == F.col("y.size"), cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert near_duplicates.meet(df.limit(0), "k", "item").count() == 0
+
+
+def test_pieces_of_large_documents_join_to_the_text(spark):
+    texts = {1: "漢字テスト" * 50, 2: "é" * 101, 3: "a" * 99, 4: "a" * 100, 5: "😀漢a" * 40, 6: "x" * 98 + "😀" * 3}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {}
+    for r in packing.pack(df, 100).collect():
+        out.setdefault(r.doc_id, []).append(r)
+    for d, t in texts.items():
+        rows = sorted(out[d], key=lambda r: r.piece)
+        assert [r.char_start for r in rows] == [sum(x.n_chars for x in rows[:i]) for i in range(len(rows))]
+        assert sum(r.n_chars for r in rows) == len(t) and all(r.n_pieces == len(rows) for r in rows)
+        assert all(r.tokens == len(t[r.char_start : r.char_start + r.n_chars].encode()) + 1 <= 100 for r in rows)
+        # no piece could have taken the next character too
+        assert all(len(t[r.char_start : r.char_start + r.n_chars + 1].encode()) + 1 > 100 for r in rows[:-1])
