@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import shutil
 import tempfile
 import zipfile
@@ -23,11 +23,17 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 def checkpoint(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder that spark.checkpoint.dir names, its lineage cut.
 
-    Only where neither the session nor the context names a folder, as in tests, a local one is set.
+    Where neither the session nor the context names a folder, a local session, as in tests, gets one of its own, which goes with the process; on a cluster that is an error, as other hosts could not read it.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "quirework-checkpoints"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all hosts share")
+            folder = tempfile.mkdtemp(prefix="quirework-checkpoints-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
