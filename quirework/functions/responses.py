@@ -22,6 +22,19 @@ def strip_reasoning(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def stream_text(c: Column) -> Column:
+    """The answer of a stream of `data:` lines: the contents of its pieces in order, up to the end mark; pieces of reasoning and lines that are no JSON have no content."""
+    lines = F.filter(F.split(F.coalesce(c, F.lit("")), r"\r?\n"), lambda x: F.startswith(x, F.lit("data:")))
+    bodies = F.transform(lines, lambda x: F.trim(F.substring(x, F.lit(6), F.length(x))))
+    end = F.array_position(bodies, "[DONE]").cast("int")
+    return F.array_join(F.transform(F.when(end > 0, F.slice(bodies, 1, end - 1)).otherwise(bodies), lambda x: F.get_json_object(x, "$.choices[0].delta.content")), "")
+
+
+def content_text(parts: Column) -> Column:
+    """The text of an answer that comes as parts (array of type, text): those of reasoning are left out."""
+    return F.array_join(F.transform(F.filter(parts, lambda x: ~F.lower(F.coalesce(x["type"], F.lit(""))).isin("reasoning", "thinking", "think")), lambda x: x["text"]), "")
+
+
 def mend(s: str) -> str:
     """JSON with its usual slips put right in one pass: commas before a closing bracket, backslashes that escape nothing, quotes inside strings."""
     out: list[str] = []
