@@ -56,6 +56,65 @@ def subfigure_groups(figures: DataFrame) -> DataFrame:
     return g.select(*PAGE, "column_label", F.get(members, F.lit(0))["block_id"].alias("target"), "label", F.concat(F.lit("figure:"), digits).alias("label_key"), "part", "parts", F.transform(members, lambda x: x["block_id"]).alias("members"), F.transform(members, lambda x: x["mark"]).alias("marks"))
 
 
+def label_key(label: Column) -> Column:
+    """The number of a figure label, full-width figures as usual ones: figure:N; '' without one."""
+    n = F.regexp_extract(F.translate(label, "０１２３４５６７８９", "0123456789"), r"[0-9]+", 0)
+    return F.when(n == "", "").otherwise(F.concat(F.lit("figure:"), n))
+
+
+def group_captions(groups: DataFrame, boxed: DataFrame, most: int = 3, least_overlap: float = 0.15) -> DataFrame:
+    """The `most` captions of each part of a group of subfigures (journal_id, page_index, target, part, rank, caption_id): blocks of the page outside the group with the group's label, that are captions or begin with the label.
+
+    Nearest above or below the box around the members first; blocks that overlap it sideways by less than `least_overlap` of the narrower are none. Where there is no box, the reading order is the distance.
+    """
+    b = boxed.select(*PAGE, "block_id", "block_ordinal", "semantic_role", "reading_order", T.clean_text("text").alias("t"), "x0", "y0", "x1", "y1")
+    member = groups.select(*PAGE, "target", "part", F.explode("members").alias("block_id")).join(b, [*PAGE, "block_id"], "left")
+    around = member.groupBy(*PAGE, "target", "part").agg(F.min("x0").alias("gx0"), F.min("y0").alias("gy0"), F.max("x1").alias("gx1"), F.max("y1").alias("gy1"))
+    g = groups.select(*PAGE, "target", "part", "members", "label_key").join(around, [*PAGE, "target", "part"])
+    j = g.join(b, PAGE).filter(~F.array_contains("members", F.col("block_id")) & (F.col("t") != ""))
+    own = F.exists(F.regexp_extract_all("t", F.lit(T.FIGURE_LABEL), F.lit(1)), lambda x: label_key(x) == F.col("label_key"))
+    j = j.filter(own & (F.col("semantic_role").isin("figure_caption", "table_caption") | F.col("t").rlike("^" + T.FIGURE_LABEL.replace("(?i)", "(?i:") + ")")))
+    over = F.greatest(F.lit(0.0), F.least("gx1", "x1") - F.greatest("gx0", "x0")) / F.greatest(F.lit(1.0), F.least(F.col("gx1") - F.col("gx0"), F.col("x1") - F.col("x0")))
+    gap = F.least(F.abs(F.col("y0") - F.col("gy1")), F.abs(F.col("gy0") - F.col("y1")))
+    boxless = F.col("gx0").isNull() | F.col("x0").isNull()
+    j = j.withColumn("gap", F.when(boxless, F.coalesce(F.nullif("reading_order", F.lit(0)), F.lit(9999)).cast("double")).otherwise(gap)).filter(boxless | (over >= least_overlap))
+    n = F.row_number().over(W.partitionBy(*PAGE, "target", "part").orderBy("gap", "block_ordinal", "block_id"))
+    return j.withColumn("rank", n).filter(F.col("rank") <= most).select(*PAGE, "target", "part", "rank", F.col("block_id").alias("caption_id"))
+
+
+def all_links(boxed: DataFrame) -> DataFrame:
+    """Links of a page's visual blocks, groups of subfigures first: a group's parts stand for all their members; every other visual block has its own link. (journal_id, page_index, place, block_id, label, captions, related, members)."""
+    none = F.array().cast("array<string>")
+    groups = subfigure_groups(boxed.filter("block_type = 'figure' AND x0 IS NOT NULL"))
+    caps = group_captions(groups, boxed).groupBy(*PAGE, "target", "part").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "caption_id"))), lambda x: x["caption_id"]).alias("captions"))
+    grouped = groups.join(caps, [*PAGE, "target", "part"], "left").select(*PAGE, F.col("part").alias("place"), F.get("members", F.lit(0)).alias("block_id"), "label", F.coalesce("captions", none).alias("captions"), none.alias("related"), "members")
+    inside = groups.select(*PAGE, F.explode("members").alias("block_id")).distinct()
+    own = visual_links(boxed).join(boxed.select("block_uid", *PAGE, "block_id", "block_ordinal"), "block_uid").join(inside, [*PAGE, "block_id"], "left_anti")
+    return grouped.unionByName(own.select(*PAGE, (F.col("block_ordinal") + 1000).alias("place"), "block_id", "label", "captions", "related", none.alias("members")))
+
+
+def links_or_default(visuals: DataFrame, links: DataFrame) -> DataFrame:
+    """The link of each visual block (journal_id, page_index, block_id, block_type), or one to itself alone where it has none: evidence ids in order, and the policy."""
+    none = F.array().cast("array<string>")
+    j = visuals.join(links.select(*PAGE, "block_id", "captions", "related", F.lit(True).alias("_found")), [*PAGE, "block_id"], "left")
+    ids = F.array_distinct(F.concat(F.array("block_id"), F.coalesce("captions", none), F.coalesce("related", none)))
+    return j.select(*PAGE, "block_id", F.col("block_type").alias("target_type"), F.coalesce("captions", none).alias("captions"), F.coalesce("related", none).alias("related"), ids.alias("evidence"), F.when(F.col("_found"), "same_label_or_caption").otherwise("target_block_only").alias("policy"))
+
+
+def visual_images(visuals: DataFrame, pages: DataFrame) -> DataFrame:
+    """The image of each visual block (journal_id, page_index, block_uid, image_path): its own crop, else its page's."""
+    own = F.nullif(F.trim(F.coalesce("image_path", F.lit(""))), F.lit(""))
+    return visuals.join(pages.select(*PAGE, "page_image"), PAGE, "left").select("block_uid", F.coalesce(own, "page_image", F.lit("")).alias("image"))
+
+
+def crop_rectangles(boxed: DataFrame, pages: DataFrame) -> DataFrame:
+    """Boxes in whole pixels (half to even), kept within their page (width, height); those of no area are left out."""
+    j = boxed.filter("x0 IS NOT NULL").join(pages.select(*PAGE, "width", "height"), PAGE)
+    at = lambda c, top: F.greatest(F.lit(0), F.least(F.bround(F.col(c), 0).cast("int"), F.col(top)))
+    r = j.select("block_uid", at("x0", "width").alias("left"), at("y0", "height").alias("top"), at("x1", "width").alias("right"), at("y1", "height").alias("bottom"))
+    return r.filter("right > left AND bottom > top")
+
+
 def inside_visual(boxed: DataFrame, cover: float = 0.9, share: float = 0.75) -> DataFrame:
     """Blocks with whether they may be cropped: one that a larger visual box covers by `cover` must be `share` of that box."""
     b = boxed.filter("x0 IS NOT NULL").withColumn("area", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))

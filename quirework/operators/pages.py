@@ -146,6 +146,32 @@ def article_metadata(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return g.select(*PAGE, F.coalesce("title", T.clean_text("journal_name")).alias("title"), "abstract", T.keywords(F.col("keyword_line")).alias("keywords"), F.regexp_extract("doi_line", T.DOI, 0).alias("doi"), F.when(F.col("title").isNotNull(), 0.82).otherwise(0.45).alias("confidence"))
 
 
+def article_authors(blocks: DataFrame, pages: DataFrame, most: int = 12) -> DataFrame:
+    """(page, authors) of each first page with a title block (or, without one, its topmost heading or body block in the upper part): the words of two to eight characters of the first block below the title, up to a bracket.
+
+    `blocks` are boxed; below means from the title's lower edge to 60 pixels or 0.08 of the page's height further down.
+    """
+    first = pages.filter("page_type = 'article_first_page'").select(*PAGE, F.coalesce("height", F.lit(0)).alias("height"))
+    b = blocks.join(first, PAGE).withColumn("t", T.clean_text("text")).filter("t <> ''").withColumn("bottom", F.coalesce("y1", "top"))
+    at = F.struct("block_ordinal", "block_uid")
+    titled = F.col("semantic_role") == "article_title"
+    upper = F.col("semantic_role").isin("section_heading", "body") & (F.col("top") < F.greatest(F.lit(1), F.col("height")) * 0.35)
+    title = b.groupBy(*PAGE).agg(F.coalesce(F.min_by("bottom", F.when(titled, at)), F.min_by("bottom", F.when(upper, F.struct("top", "left", "block_ordinal")))).alias("edge"))
+    below = (F.col("top") >= F.col("edge")) & (F.col("top") <= F.col("edge") + F.greatest(F.lit(60.0), F.col("height") * 0.08)) & ~F.coalesce("semantic_role", F.lit("")).isin("abstract", "keywords", "journal_header", "footer", "page_number")
+    line = b.join(title, PAGE).filter(below).groupBy(*PAGE).agg(F.min_by("t", at).alias("line"))
+    words = F.split(F.regexp_replace("line", r"[\p{Nd},，\s]*(\(|（).*$", ""), r"[,，、\s]+")
+    return line.select(*PAGE, F.slice(F.filter(words, lambda x: F.length(x).between(2, 8)), 1, most).alias("authors"))
+
+
+# What the notes say.
+NOTES = ("reading order reconstructed from coordinates; verify cross-column floating objects", "cross-column visual blocks split two-column reading bands; read left band above barrier, then right band above barrier, then the barrier")
+
+
+def note_texts(n_notes: str) -> Column:
+    """The notes of a page that has so many."""
+    return F.slice(F.array(*map(F.lit, NOTES)), 1, F.col(n_notes))
+
+
 def neighbours(pages: DataFrame) -> DataFrame:
     """Previous and next page of each page of a journal."""
     w = W.partitionBy("journal_id").orderBy("page_index")

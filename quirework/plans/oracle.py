@@ -284,9 +284,6 @@ g AS (SELECT journal_id, article_id, string_agg(t, ' ' ORDER BY page_index) AS t
 SELECT journal_id, article_id, rtrim(left(s16[1], 220)) AS problem, array_to_string({_with(generation.CONTRIBUTIONS)}, '|') AS contributions, array_to_string({_with(generation.FINDINGS)}, '|') AS findings, array_to_string({_with(generation.CONCLUSIONS)}, '|') AS conclusions FROM f""",
     "sample_ids": f"SELECT ordinal, format('{{}}_{{}}_p{{:03d}}_{{}}_{{}}_{{:06d}}', {_safe('metadata.journal_id', 'journal')}, {_safe('metadata.article_id', 'article_unknown')}, coalesce(metadata.page_index, 0), {_safe('metadata.block_id', 'page')}, coalesce(metadata.task_type, 'task'), coalesce(metadata.sample_no, 0)) AS made_id FROM samples",
     "quality_format": QUALITY,
-    "sample_gate": f"""SELECT ordinal, id, CASE WHEN {FORMAT} = 'unknown' THEN 'task' WHEN coalesce(id, '') = '' THEN 'id' WHEN {FORMAT} = 'pt' AND length({clean(CORPUS)}) < 80 THEN 'short' WHEN {FORMAT} <> 'pt' AND {clean("instruction")} = '' THEN 'instruction'
-WHEN {FORMAT} <> 'pt' AND coalesce(output_payload.text, '') = '' AND coalesce(output_payload.summary, '') = '' THEN 'payload' WHEN coalesce(len(list_distinct(evidence.source_pages)), 0) < 1 THEN 'pages' WHEN task_type = 'cross_page_article_context' AND coalesce(len(list_distinct(evidence.source_pages)), 0) < 2 THEN 'cross_page' END AS reason FROM samples""",
-    "quality_relevance": QLT3,
     "quality_visual": QLT4,
     "image_pages": r"""WITH i AS (SELECT ordinal, coalesce(len(images), 0)::INT AS n_images, evidence.source_pages AS src, list_filter(list_transform(images, lambda x: regexp_extract(replace(x, chr(92), '/'), 'p(\d{1,4})', 1)), lambda x: x <> '') AS f FROM samples)
 SELECT ordinal, n_images, coalesce(len(f), 0) < 1 OR coalesce(len(src), 0) < 1 OR list_has_all(src, list_transform(f, lambda x: x::INT)) AS in_sources FROM i""",
@@ -300,8 +297,6 @@ SELECT ordinal, row_number() OVER (PARTITION BY j, id ORDER BY ordinal) = 1 AS f
     "dedup_near": rf"""WITH s AS (SELECT ordinal, metadata.journal_id AS j, regexp_replace(lower({CORPUS}), '[^\p{{L}}\p{{N}}_]', '', 'g') AS t FROM samples WHERE task_type = '{samples.CORPUS}'),
 g AS (SELECT ordinal, j, CASE WHEN length(t) <= 3 THEN [t] ELSE list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) END AS g FROM s WHERE t <> '')
 SELECT x.ordinal AS a, y.ordinal AS b FROM g x JOIN g y ON x.j = y.j AND x.ordinal < y.ordinal WHERE len(list_intersect(x.g, y.g))::DOUBLE / least(len(x.g), len(y.g)) >= 0.92""",
-    "export_sharegpt": f"SELECT ordinal, id, trim(repeat('<image>', coalesce(len(images), 0)) || trim(replace(coalesce(instruction, ''), '<image>', ''))) AS asked, {ANSWER} AS answered FROM samples WHERE task_type IN ({names(samples.FORMATS['sharegpt'])})",
-    "export_alpaca": f"SELECT ordinal, coalesce(instruction, '') AS instruction, coalesce(question, '') AS input, {ANSWER} AS output FROM samples WHERE task_type IN ({names(samples.FORMATS['alpaca'])})",
     "export_pt": rf"SELECT * FROM (SELECT ordinal, regexp_replace({CORPUS}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS text FROM samples WHERE task_type = '{samples.CORPUS}') WHERE text <> ''",
     "export_counts": f"""WITH s AS (SELECT {FORMAT} AS format, coalesce(task_type, 'none') AS task, id FROM samples), r AS (SELECT CASE WHEN grouping(format) = 1 THEN 'all' ELSE format END AS format, CASE WHEN grouping(task) = 1 THEN 'all' ELSE task END AS task, count(*) AS n, count(DISTINCT id) AS n_ids FROM s GROUP BY ROLLUP (format, task)) SELECT * FROM r""",
     "evidence_blocks": """WITH e AS (SELECT ordinal, metadata.journal_id AS journal_id, unnest(evidence.evidence_block_ids) AS block_id, generate_subscripts(evidence.evidence_block_ids, 1) AS pos FROM samples), b AS (SELECT journal_id, block_id, min(block_type) AS block_type FROM journal_blocks GROUP BY ALL)
@@ -309,7 +304,6 @@ SELECT ordinal, n, block_id, block_type FROM (SELECT ordinal, block_id, block_ty
     "parse_status": f"""WITH {BLOCKS}, g AS (SELECT journal_id, count(*) AS n_items, count(DISTINCT page_index) AS n_pages, sum(length(coalesce(text, ''))) AS n_chars FROM b GROUP BY ALL), j AS (SELECT journal_id, max(page_count) AS page_count FROM journals GROUP BY ALL)
 SELECT journal_id, page_count, coalesce(n_items, 0) AS n_items, coalesce(n_pages, 0) AS n_pages, coalesce(n_chars, 0)::BIGINT AS n_chars, coalesce(n_items, 0) >= 1 AND coalesce(n_pages, 0) >= ceil(page_count * 0.75::DOUBLE) AND coalesce(n_chars, 0) >= 20 AS complete FROM j LEFT JOIN g USING (journal_id)""",
     "pending_pages": f"WITH {PAGES} SELECT journal_id, page_index FROM p WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.metadata.journal_id = p.journal_id AND s.metadata.page_index = p.page_index)",
-    "issue_fields": "WITH j AS (SELECT DISTINCT journal_id, concat_ws(' ', journal_name, source_pdf) AS n FROM journals) SELECT journal_id, regexp_extract(n, '((?:19|20)\\d{2})', 1) AS year, regexp_extract(n, '第\\s*(\\d+)\\s*期', 1) AS issue, regexp_extract(n, '第\\s*(\\d+)\\s*卷', 1) AS volume FROM j",
     "window_counts": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, count(DISTINCT user_id) AS users, sum(value) AS value FROM events GROUP BY ALL",
     "user_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""",

@@ -143,7 +143,7 @@ def subfigure_groups(spark, d):
 
 
 def visual_links(spark, d):
-    """SUP-1, SUP-2, JN-3, JN-5."""
+    """SUP-1, JN-3, JN-5."""
     return links.visual_links(_blocks(spark, d)).select("block_uid", "label", F.array_join("captions", "|").alias("captions"), F.array_join("related", "|").alias("related"))
 
 
@@ -260,15 +260,10 @@ def sample_ids(spark, d):
 
 
 def quality_format(spark, d):
-    """QLT-1, SCL-15, SCL-16, SCL-17, AGG-12."""
+    """QLT-1, SCL-15, SCL-16, SCL-17."""
     return samples.text_format_quality(_samples(spark, d))
 
 
-def sample_gate(spark, d):
-    """PRD-12, PRD-13, SUP-15."""
-    return samples.gate(_samples(spark, d))
-
-
 def quality_relevance(spark, d):
     """QLT-3."""
     return quality.relevance(_samples(spark, d))
@@ -280,7 +275,7 @@ def quality_visual(spark, d):
 
 
 def image_pages(spark, d):
-    """QLT-5, SCL-20: image pages against source pages."""
+    """SCL-20, SET-4: image pages against source pages."""
     return quality.image_pages(_samples(spark, d))
 
 
@@ -295,11 +290,11 @@ def figure_instructions(spark, d):
 
 
 def parsed_responses(spark, d):
-    """SCL-18, SCL-19 over the events' property strings and over answers: objects read from each."""
+    """SCL-18, SCL-19 over the events' property strings and over answers: objects read from each, -1 where there is no object to read."""
     events = table(spark, d, "events").select(F.lit("event").alias("source"), F.col("event_id").cast("string").alias("id"), F.col("props").alias("raw"))
     answers = _samples(spark, d).select(F.lit("sample").alias("source"), F.col("id").cast("string").alias("id"), F.col("answer").alias("raw"))
     raw = events.unionByName(answers)
-    return raw.select("source", "id", F.size(responses.parse_response(responses.strip_reasoning(F.col("raw")))).alias("n"))
+    return raw.select("source", "id", F.coalesce(F.size(responses.parse_response(responses.strip_reasoning(F.col("raw")))), F.lit(-1)).alias("n"))
 
 
 def term_overlap(spark, d):
@@ -328,11 +323,6 @@ def export_sharegpt(spark, d):
     return samples.to_sharegpt(_samples(spark, d)).select("ordinal", "id", F.col("messages")[0]["content"].alias("asked"), F.col("messages")[1]["content"].alias("answered"))
 
 
-def export_alpaca(spark, d):
-    """SNK-6."""
-    return samples.to_alpaca(_samples(spark, d))
-
-
 def export_pt(spark, d):
     """SNK-7."""
     return samples.to_pt(_samples(spark, d))
@@ -360,12 +350,6 @@ def pending_pages(spark, d):
     return samples.pending(_pages(spark, d).select(*PAGE), done, PAGE)
 
 
-def issue_fields(spark, d):
-    """SRC-5 on journal names and paths."""
-    j = table(spark, d, "journals").select("journal_id", F.concat_ws(" ", "journal_name", "source_pdf").alias("n")).distinct()
-    return j.select("journal_id", *(c.alias(k) for k, c in readers.issue_fields(F.col("n")).items()))
-
-
 def window_counts(spark, d):
     """Extension: tumbling windows over events."""
     return ingest.window_counts(table(spark, d, "events"))
@@ -387,7 +371,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         valid_boxes, page_sizes, block_roles, caption_labels, column_bands, column_assignment, column_modes, reading_order, reading_order_check, page_types, visible_blocks, paragraphs, page_texts,
         article_spans, page_articles, article_metadata, page_neighbours, nearest_captions, same_label_blocks, subfigure_groups, visual_links, barriers, crop_boxes, uncertainty_notes, truncated_texts, visual_containment, page_jobs, linked_page_jobs, visual_jobs, sections, section_jobs, unheaded_page_jobs, page_windows,
-        article_jobs, corpus_windows, page_sentences, method_conditions, claim_chains, contributions, corpus_samples, corpus_lines, sample_ids, quality_format, sample_gate, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_alpaca, export_pt,
-        export_counts, evidence_blocks, parse_status, pending_pages, issue_fields, window_counts, user_sessions, page_roles_count,
+        article_jobs, corpus_windows, page_sentences, method_conditions, claim_chains, contributions, corpus_samples, corpus_lines, sample_ids, quality_format, quality_relevance, quality_visual, image_pages, cross_page_bounds, figure_instructions, parsed_responses, term_overlap, dedup_rules, dedup_near, dedup_kept, export_sharegpt, export_pt,
+        export_counts, evidence_blocks, parse_status, pending_pages, window_counts, user_sessions, page_roles_count,
     )
 }

@@ -86,7 +86,7 @@ def test_exports(spark, tmp_path):
     df = spark.createDataFrame(rows, S)
     m = samples.to_sharegpt(df).first().messages
     assert [(x.role, x.content) for x in m] == [("user", "<image><image>看图"), ("assistant", "答案")]
-    assert [tuple(r) for r in samples.to_alpaca(df).collect()] == [(2, "概括", "", "要点")]
+    assert [tuple(r) for r in samples.to_alpaca(df).select("ordinal", "instruction", "input", "output").collect()] == [(2, "概括", "{}", "要点")]
     assert [tuple(r) for r in samples.to_pt(df).collect()] == [(3, "语料")]
     out = str(tmp_path / "out")
     sinks.write_exports(df, out)
@@ -141,17 +141,30 @@ def test_reasoning_and_lines(spark):
     assert [x[0] for x in df.limit(1).select(responses.parse_response(F.lit('[{"b": 1, "a": 2}]'))).collect()] == [['{"a": 2, "b": 1}']]
 
 
-def test_payloads():
+def test_payloads(spark):
     long = "字" * 250
     rows = [{"t": "x" * 30} for _ in range(8)]
-    p = {"context": {"template_input": {"t": long, "rows": rows}, "a": long, "b": {"c": long, "rows": rows}, "s": "short", "s2": "short"}}
-    f = payloads.fold_repeats(p)
-    assert f["context"]["a"].startswith("<同 context.template_input.t") and f["context"]["b"]["c"].startswith("<同 ") and f["context"]["b"]["rows"].startswith("<同 context.template_input.rows")
-    assert f["context"]["s2"] == "short" and payloads.fold_repeats(f) == f
-    big = {"context": {"template_input": "t" * 500, "x": "x" * 400, "y": "y" * 100}}
-    small = payloads.fit_budget(big, 800)
-    assert small["context"]["template_input"] == "t" * 500 and "省略" in small["context"]["x"] and small["context"]["y"] == "y" * 100
-    assert payloads.fit_budget(big, 0) is big and big["context"]["x"] == "x" * 400
+    p = {"context": {"template_input": {"t": long, "rows": rows}, "a": long, "b": {"c": long, "rows": rows}, "s": "short", "s2": "short"}, "again": [rows, rows]}
+    big = {"context": {"template_input": "t" * 500, "x": "x" * 400, "y": "y" * 100, "z": {"k": ["z" * 50] * 4}}}
+    df = spark.createDataFrame([("p", json.dumps(p, ensure_ascii=False)), ("big", json.dumps(big)), ("n", None), ("list", "[1]")], "id string, payload string")
+    once = payloads.fold_repeats(df, "id", "payload")
+    f = {r.id: json.loads(r.payload) for r in once.collect()}
+    assert set(f) == {"p", "big", "list"} and f["big"] == big
+    c = f["p"]["context"]
+    assert c["a"] == "<同 context.template_input.t，内容不再重复>" and c["b"] == {"c": c["a"], "rows": "<同 context.template_input.rows，内容不再重复>"} and c["s2"] == "short"
+    assert f["p"]["again"] == ["<同 context.template_input.rows，内容不再重复>"] * 2
+    assert {r.id: json.loads(r.payload) for r in payloads.fold_repeats(once, "id", "payload").collect()} == f
+    whole = len(json.dumps(big, ensure_ascii=False, indent=2))
+    for most in (whole, whole - 1, 900, 10):
+        got = json.loads(payloads.fit_budget(df, "id", "payload", most).filter("id = 'big'").first().payload)["context"]
+        # the definition: the largest field goes until the rest fits
+        want = dict(big["context"])
+        for k in sorted((k for k in want if k != "template_input"), key=lambda k: -len(json.dumps(want[k]))):
+            if len(json.dumps({"context": want}, ensure_ascii=False, indent=2)) <= most:
+                break
+            want[k] = f"<超出 prompt 预算 {most} 字符，本字段已省略>"
+        assert got == want, most
+    assert payloads.fit_budget(df, "id", "payload", 0).count() == 3
 
 
 def test_text_hazards(spark):
@@ -172,12 +185,32 @@ def test_sources(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": "a", "n": 1}\n\nbroken\n[1]\n{"id": "b"}\n')
     rows, bad = readers.read_jsonl(spark, str(tmp_path / "x.jsonl"), spark.createDataFrame([], "id string, n int").schema)
     assert [tuple(r) for r in rows.collect()] == [("a", 1), ("b", None)] and bad.count() == 2
-    items = spark.createDataFrame([("j", 0, None, None, None, "a"), ("j", 1, "Image", 2, [1.0, 2.0, 3.0, 4.0, 5.0], " b "), ("j", 2, "strange", None, None, None)], "journal_id string, ordinal int, type string, page_idx int, box array<double>, text string")
-    for k in (*readers.BOX_KEYS, *readers.TEXT_KEYS):
-        if k not in items.columns:
-            items = items.withColumn(k, F.lit(None).cast("array<double>" if k in readers.BOX_KEYS else "string"))
+    lines = ['{"text": "a"}', '{"type": "Image", "page_idx": 2, "box": [1, 2, 3.5, 4, 5], "text": " b "}', '{"type": "strange"}', '{"page_no": "7", "poly": [[1, 2], [3, 4]]}', '{"page_idx": "x", "page": 8, "bbox": [], "box": [1, "2", 3]}']
+    items = spark.createDataFrame(list(enumerate(lines)), "ordinal int, v string").select(F.lit("j").alias("journal_id"), "ordinal", F.from_json("v", readers.ITEM).alias("r")).select("journal_id", "ordinal", "r.*")
     got = [(r.page_index, r.block_type, r.bbox, r.text) for r in readers.content_items(items).orderBy("ordinal").collect()]
-    assert got == [(1, "unknown", None, "a"), (3, "figure", [1.0, 2.0, 3.0, 4.0], "b"), (3, "unknown", None, "")]
+    assert got == [(1, "unknown", None, "a"), (3, "figure", [1.0, 2.0, 3.5, 4.0], "b"), (3, "unknown", None, ""), (7, "unknown", [1.0, 2.0, 3.0, 4.0], ""), (8, "unknown", None, "")]
+    parse = {"result": json.dumps({"content_list": [{"a": 1}, {"b": 2}], "images": {"x": "y"}}), "other": [{"type": "text"}], "images": [1], "deep": [{"images": 1, "k": 2}]}
+    one = spark.createDataFrame([(json.dumps(parse),), ("no JSON",), (None,)], "v string").select(readers.content_list("v").alias("items"), readers.without_images("v").alias("bare")).collect()
+    assert [json.loads(x) for x in one[0]["items"]] == [{"a": 1}, {"b": 2}] and [r["items"] for r in one[1:]] == [None, None]
+    assert json.loads(one[0].bare) == {k: v for k, v in parse.items() if k != "images"} | {"deep": [{"k": 2}]} and [r.bare for r in one[1:]] == ["no JSON", None]
+
+
+def test_journal_rows(spark):
+    df = spark.createDataFrame([("/a/x 1.pdf", None, None, None), (None, "/b/航空2021年第40卷 第3期.pdf", None, None), (None, "c.pdf", " 刊 2019-7-2 ", "given"), ("", "/d/known.pdf", None, "")], "path string, url string, name string, journal_id string")
+    ids = spark.createDataFrame([("known.pdf", "k1")], "name string, journal_id string")
+    got = [tuple(r) for r in readers.journal_rows(df, ids).collect()]
+    assert got == [("/a/x 1.pdf", "x 1", "x_1", "", "", ""), ("/b/航空2021年第40卷 第3期.pdf", "航空2021年第40卷 第3期", "航空2021年第40卷_第3期", "2021", "40", "3"), ("c.pdf", "刊 2019-7-2", "given", "2019", "7", "2"), ("/d/known.pdf", "known", "k1", "", "", "")]
+    with pytest.raises(Exception, match="no path"):
+        readers.journal_rows(df.limit(1).select(F.lit("").alias("path"))).collect()
+
+
+def test_streamed_answers(spark):
+    piece = lambda **d: "data: " + json.dumps({"choices": [{"delta": d}]})
+    raw = "\n".join([": hello", piece(role="assistant"), piece(reasoning_content="no"), piece(content="一"), "data: broken", piece(content="二"), "data: [DONE]", piece(content="三")])
+    df = spark.createDataFrame([(raw,), (None,)], "t string")
+    assert [r[0] for r in df.select(responses.stream_text(F.col("t"))).collect()] == ["一二", ""]
+    parts = spark.sql("SELECT array(named_struct('type', 'reasoning', 'text', 'x'), named_struct('type', 'text', 'text', 'y'), named_struct('type', NULL, 'text', 'z')) AS p")
+    assert parts.select(responses.content_text(F.col("p"))).first()[0] == "yz"
 
 
 def test_stream_appends_once(spark, tmp_path):
