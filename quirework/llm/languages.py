@@ -21,6 +21,8 @@ LANGUAGES = ("zh", "en", "de", "fr", "ja", "ru")
 BITS = 15
 #: Labelled documents at most that the model is fitted on, taken evenly by language in the order of a hash of the id.
 SAMPLE = 1500
+#: Sentences of them at most that the matrix is fitted on, and characters of a sentence that is taken whole.
+SENTENCES, LONGEST = 60_000, 2000
 ROUNDS = 2
 SMOOTHING = 0.3
 #: Price (nats) of a change of language between neighbouring sentences.
@@ -106,18 +108,26 @@ def _matrix(counts: np.ndarray) -> np.ndarray:
     return np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
 
 
+def _short(text: str) -> list[tuple[int, int]]:
+    """Sentences of a text; longer ones in parts of LONGEST characters."""
+    return [(k, min(k + LONGEST, z)) for a, z in sentences(text) for k in range(a, z, LONGEST)]
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> np.ndarray:
-    """The log-probability matrix, from at most `sample` labelled documents."""
+    """The log-probability matrix, from at most `sample` labelled documents, and of their sentences (cut where longer than LONGEST) at most SENTENCES, in the order of a hash: what comes to the driver is bounded."""
     key = F.col(doc_id).cast("string")
     known = docs.select(key.alias("_k"), F.xxhash64(key).alias("_h"), label_column(lang).alias("_l")).filter(F.col("_l").isin(*LANGUAGES) & F.col(text).isNotNull())
     # The rank is limited within each task before the shuffle, and reads no text; the chosen ids are at most `sample`.
     chosen = known.withColumn("_r", F.row_number().over(W.partitionBy("_l").orderBy("_h", "_k"))).filter(F.col("_r") <= sample // len(LANGUAGES)).select("_k", "_l")
-    rows = docs.select(key.alias("_k"), F.col(text).alias("_t")).filter("_t IS NOT NULL").join(F.broadcast(chosen), "_k").orderBy("_l", "_k").collect()
-    texts, labels = [], []
-    for r in rows:
-        for s, e in sentences(r["_t"]):
-            texts.append(r["_t"][s:e])
-            labels.append(LANGUAGES.index(r["_l"]))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, lang, n, t[a:z]) for k, lang, t in zip(b["_k"], b["_l"], b["_t"]) for n, (a, z) in enumerate(_short(t))]
+            yield pd.DataFrame(rows, columns=["_k", "_l", "_n", "_s"])
+
+    every = docs.select(key.alias("_k"), F.col(text).alias("_t")).filter("_t IS NOT NULL").join(F.broadcast(chosen), "_k").mapInPandas(cut, "_k string, _l string, _n int, _s string")
+    rows = sorted(every.orderBy(F.xxhash64("_k", "_n"), "_k", "_n").limit(SENTENCES).collect(), key=lambda r: (r["_l"], r["_k"], r["_n"]))
+    texts, labels = [r["_s"] for r in rows], [LANGUAGES.index(r["_l"]) for r in rows]
     bucket, owner, letters = buckets(texts)
     label = np.array(labels, dtype=np.int64)
     for _ in range(ROUNDS + 1):

@@ -120,18 +120,42 @@ def meet(rows: DataFrame, key: str, item: str, fits: Column | None = None, cell:
     return (two if fits is None else two.filter(fits)).select("x", "y")
 
 
-def links(df: DataFrame, id_col: str, head: str, body: str, min_chars: int = 200, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for at in range(0, len(b), 500):
+            part = b.iloc[at : at + 500]
+            rows = [grams(t) for t in part["clean"]]
+            size = np.array([len(g) for g in rows], dtype=np.int32)
+            yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), size), "size": np.repeat(size, size), "gram": np.concatenate([np.zeros(0, dtype=np.uint64), *rows]).astype(np.int64)})
+
+
+def exact_candidates(reps: DataFrame, threshold: float) -> DataFrame:
+    """(rep_a, rep_b): a superset of all pairs of `threshold`, without chance. `reps`: rep, clean.
+
+    A text's n-grams are ordered from rare to frequent; two texts of that similarity share one among the first n - ceil(threshold * n) + 1 of each. Hot n-grams meet in cells. Its work grows with the square of the texts
+    once new texts bring no new n-grams, so it is for tables where that can be paid.
+    """
+    every = reps.select("rep", "clean").mapInPandas(_counted, "rep bigint, size int, gram bigint")
+    seen = every.groupBy("gram").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(W.partitionBy("rep").orderBy("df", "gram"))
+    head = every.join(seen, "gram").withColumn("r", rank).filter(F.col("r") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1)
+    near = F.least("x.size", "y.size") >= F.lit(threshold) * F.greatest("x.size", "y.size")
+    return meet(head.select("gram", "rep", "size"), "gram", "rep", near).select(F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b")).distinct()
+
+
+def links(df: DataFrame, id_col: str, head: str, body: str, min_chars: int = 200, threshold: float = THRESHOLD, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, links): members has one row (id, rep) per different id and text, links the pairs rep_a < rep_b of different texts whose similarity is at least `threshold`.
 
     The compared text is head directly followed by body, cleaned; texts whose cleaned body has fewer than `min_chars`
     characters take no part, nor do NULL ids and bodies; a NULL head is empty. Repeated rows count once. Other columns are ignored.
+    With `exact` no pair is missed, at a higher cost (`exact_candidates`).
     """
     parts = _parts(df, id_col, head, body, min_chars)
     members = parts.select("id", "rep").distinct()
     reps = parts.groupBy("rep").agg(F.first("clean").alias("clean"))
     blocks = reps.mapInPandas(_sign, "rep bigint, size int, block bigint")
     near = F.least("x.size", "y.size") >= F.lit(threshold) * F.greatest("x.size", "y.size")
-    pairs = meet(blocks, "block", "rep", near).select(F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b")).distinct()
+    pairs = exact_candidates(reps, threshold) if exact else meet(blocks, "block", "rep", near).select(F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b")).distinct()
     both = pairs.join(reps.select(F.col("rep").alias("rep_a"), F.col("clean").alias("clean_a")), "rep_a").join(reps.select(F.col("rep").alias("rep_b"), F.col("clean").alias("clean_b")), "rep_b")
     return members, both.mapInPandas(_overlap(threshold), "rep_a bigint, rep_b bigint, similarity double")
 

@@ -253,3 +253,21 @@ def test_pieces_of_large_documents_join_to_the_text(spark):
         assert all(r.tokens == len(t[r.char_start : r.char_start + r.n_chars].encode()) + 1 <= 100 for r in rows)
         # no piece could have taken the next character too
         assert all(len(t[r.char_start : r.char_start + r.n_chars + 1].encode()) + 1 > 100 for r in rows[:-1])
+
+
+def test_exact_candidates_miss_no_pair(spark):
+    """Texts of four signs only, so that all n-grams are frequent, with changes that leave pairs on both sides of the threshold."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(12):
+        base = "".join(rng.choice(list("abcdefghijklmnop"), 220))
+        for _ in range(6):
+            t = list(base)
+            for at in rng.integers(0, len(t), int(rng.integers(0, 14))):
+                t[at] = str(rng.choice(list("abcdefghijklmnop")))
+            texts.append("".join(t))
+    sets = [set(near_duplicates.grams(t).tolist()) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    df = spark.createDataFrame([(f"{i:03d}", None, t) for i, t in enumerate(texts)], "id string, instruction string, answer string")
+    got = near_duplicates.pairs(*near_duplicates.links(df, "id", "instruction", "answer", exact=True)).collect()
+    assert {(int(r.id_b), int(r.id_a)) for r in got} == want and 30 < len(want) < 180
