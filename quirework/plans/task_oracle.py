@@ -275,7 +275,7 @@ al AS (SELECT * FROM li UNION ALL SELECT * FROM re),
 pw AS (SELECT cw.journal_id, cw.article_id, cw.first_page, cw.last_page, p.page_index, p.journal_name, p.article_title, CASE WHEN {clean("p.page_label")} = '' THEN p.page_index::VARCHAR ELSE {clean("p.page_label")} END AS label, lines FROM cw JOIN p ON p.journal_id = cw.journal_id AND p.article_id = cw.article_id AND p.page_index BETWEEN cw.first_page AND cw.last_page LEFT JOIN al ON al.journal_id = p.journal_id AND al.article_id = p.article_id AND al.page_index = p.page_index),
 jo AS (SELECT journal_id, article_id, first_page, last_page, string_agg('[页码：' || label || ']' || CASE WHEN lines IS NULL THEN '' ELSE chr(10) || lines END, chr(10) || chr(10) ORDER BY page_index) AS raw, arg_min(label, page_index) AS l1, arg_max(label, page_index) AS l2, arg_min(journal_name, page_index) AS jn, arg_min(article_title, page_index) AS title FROM pw GROUP BY ALL)
 SELECT journal_id, article_id, first_page, last_page, '期刊：' || coalesce(jn, '') || chr(10) || '文章：' || CASE WHEN {clean("title")} <> '' THEN {clean("title")} ELSE article_id END || chr(10) || '页码：' || CASE WHEN l1 = l2 THEN l1 ELSE l1 || '-' || l2 END || chr(10) || chr(10) || {CORPUS_CLEAN.format("raw")} AS text FROM jo""",
-    "parsed_responses": """SELECT 'event' AS source, event_id::VARCHAR AS id, CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' THEN 1 ELSE -1 END::INT AS n FROM events UNION ALL SELECT 'sample', id, CASE WHEN json_valid(answer) AND json_type(answer) = 'OBJECT' THEN 1 ELSE -1 END::INT FROM samples""",
+    "parsed_responses": r"""SELECT 'event' AS source, event_id::VARCHAR AS id, CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' THEN 1 ELSE -1 END::INT AS n FROM events UNION ALL SELECT 'sample', id, CASE WHEN json_valid(answer) AND json_type(answer) = 'OBJECT' THEN 1 WHEN regexp_matches(answer, '^[^\[]*\[\s*(\d+(\s*,\s*\d+)*)?\s*\]') THEN 0 ELSE -1 END::INT FROM samples""",
     "dedup_kept": f"""WITH RECURSIVE s AS (SELECT ordinal, coalesce(metadata.journal_id, '') AS j, coalesce(id, chr(1)) AS id, metadata.article_id AS a, metadata.page_index AS p, metadata.task_type AS t, task_type, CASE WHEN coalesce(output_payload.text, '') <> '' THEN output_payload.text ELSE coalesce(question, '') || chr(31) || coalesce(answer, '') || chr(31) || coalesce(output_payload.summary, '') END AS c, {STRIP_WORDS} AS w FROM samples),
 g AS (SELECT ordinal, j, CASE WHEN length(w) < 3 THEN [w] ELSE list_distinct(list_transform(range(1, length(w) - 1), lambda i: substr(w, i, 3))) END AS g FROM s WHERE task_type = '{samples.CORPUS}' AND w <> ''),
 gu AS (SELECT ordinal, j, len(g) AS n, unnest(g) AS gram FROM g), ov AS (SELECT x.ordinal AS a, y.ordinal AS b, least(any_value(x.n), any_value(y.n)) AS n, count(*) AS k FROM gu x JOIN gu y ON x.j = y.j AND x.gram = y.gram AND x.ordinal < y.ordinal GROUP BY ALL),
