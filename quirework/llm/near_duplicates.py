@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quirework.operators.components import least_labels
+from quirework.session import checkpoint
 
 N = 3
 THRESHOLD = 0.8
@@ -151,7 +152,7 @@ def links(df: DataFrame, id_col: str, head: str, body: str, min_chars: int = 200
     With `exact` no pair is missed, at a higher cost (`exact_candidates`).
     """
     parts = _parts(df, id_col, head, body, min_chars)
-    members = parts.select("id", "rep").distinct()
+    members = checkpoint(parts.select("id", "rep").distinct())  # two numbers a text, read several times; the texts are cleaned once less
     reps = parts.groupBy("rep").agg(F.first("clean").alias("clean"))
     blocks = reps.mapInPandas(_sign, "rep bigint, size int, block bigint")
     near = F.least("x.size", "y.size") >= F.lit(threshold) * F.greatest("x.size", "y.size")
