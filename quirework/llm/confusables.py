@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.session import checkpoint
+
 # Letters of other scripts that look like Latin ones.
 CYRILLIC_LATIN = dict(zip("асеԁһіјӏкорԛѕтухуѵԝзАВСЕНІЈКМОРЅТУХҮ", "acedhijlkopqstuxyvwзABCEHIJKMOPSTYXY"))
 CYRILLIC_LATIN = {a: b for a, b in CYRILLIC_LATIN.items() if b.isascii()}
@@ -195,7 +197,7 @@ def examine(records: DataFrame) -> DataFrame:
     odd = F.col("text").rlike(UNUSUAL)
     none = F.array().cast("array<string>")
     plain = rows.filter(~odd).withColumn("disguises", none).withColumn("doubtful", none)
-    seen = rows.filter(odd).mapInPandas(_run, CASES)
+    seen = checkpoint(rows.filter(odd).mapInPandas(_run, CASES))  # a small part of the rows, read several times
     return plain.unionByName(seen)
 
 
@@ -227,4 +229,4 @@ def settle(examined: DataFrame) -> DataFrame:
     key = ["rec", "rec_uid", "field_name"]
     doubt = examined.filter(F.size("doubtful") > 0).select(*key, F.explode("doubtful").alias("word"))
     whole = doubt.join(_words(examined), "word", "left_semi").select(*key, F.lit("lookalike").alias("disguise"))
-    return examined.select(*key, F.explode("disguises").alias("disguise")).unionByName(whole).distinct()
+    return examined.filter(F.size("disguises") > 0).select(*key, F.explode("disguises").alias("disguise")).unionByName(whole).distinct()
