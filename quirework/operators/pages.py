@@ -84,17 +84,29 @@ def paragraphs(visible: DataFrame) -> DataFrame:
 
     A block begins a paragraph if it or the block before it is special, if it is a list item, if the text before it is ended, or on an article's first page
     before the abstract; otherwise its text goes on, with a blank only between Latin letters or figures. Whether a block begins one depends on the
-    block before it alone, so one window over (journal, article) does it.
+    block before it alone, and of that on its last sign and its kind. Within a page a window tells them; from page to page two short values a page are handed on,
+    so that no text goes through a window of a whole article, which may be a third of all pages.
     """
-    art = W.partitionBy("journal_id", "article_id").orderBy("page_index", order_of(), "block_ordinal")
-    page = W.partitionBy("journal_id", "article_id", "page_index").orderBy(order_of(), "block_ordinal").rowsBetween(W.unboundedPreceding, -1)
-    v = visible.withColumn("prole", paragraph_role())
-    special = F.col("prole") != "body"
-    v = v.withColumns({"_prev": F.lag("shown").over(art), "_prevspecial": F.lag(special).over(art), "_abstract": F.coalesce(F.max((F.col("semantic_role") == "abstract").cast("int")).over(page), F.lit(0))})
-    new = F.col("_prev").isNull() | ((F.col("page_type") == "article_first_page") & (F.col("_abstract") == 0)) | special | F.col("_prevspecial") | F.col("shown").rlike(T.LIST_ITEM) | F.col("_prev").rlike(T.PARAGRAPH_END)
-    v = v.withColumn("_new", new)
-    v = v.withColumn("_seq", F.sum(F.col("_new").cast("int")).over(art.rowsBetween(W.unboundedPreceding, 0)))
-    glue = F.when(F.col("_new") | F.lit(T.NO_SPACE_BEFORE).contains(F.left("shown", F.lit(1))), "").when(F.col("_prev").rlike("[A-Za-z0-9]$") & F.col("shown").rlike("^[A-Za-z0-9]"), " ").otherwise("")
+    page = W.partitionBy(*PAGE, "_art").orderBy(order_of(), "block_ordinal")
+    so_far = page.rowsBetween(W.unboundedPreceding, -1)
+    pages_of = W.partitionBy("journal_id", "_art").orderBy("page_index")
+
+    def by_page(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        """One row a page, so that blocks are joined where they lie: `name` is a map from the page's articles, which are few, to a value."""
+        return rows.select(*PAGE, "_art", value.alias("_v")).groupBy(*PAGE).agg(F.map_from_entries(F.collect_list(F.struct("_art", "_v"))).alias(name))
+
+    v = visible.withColumn("_art", F.coalesce(F.concat(F.lit("a"), "article_id"), F.lit(""))).withColumn("prole", paragraph_role()).withColumn("_tail", F.struct(F.right("shown", F.lit(1)).alias("sign"), (F.col("prole") != "body").alias("special")))
+    ends = v.groupBy(*PAGE, "_art").agg(F.max_by("_tail", F.struct(order_of(), F.col("block_ordinal"))).alias("_last"))
+    handed = by_page(ends, F.lag("_last").over(pages_of), "_from")
+    v = v.withColumns({"_before": F.lag("_tail").over(page), "_abstract": F.coalesce(F.max((F.col("semantic_role") == "abstract").cast("int")).over(so_far), F.lit(0))}).join(handed, PAGE)
+    prev = F.coalesce("_before", F.element_at("_from", F.col("_art")))
+    sign = prev["sign"]
+    new = prev.isNull() | ((F.col("page_type") == "article_first_page") & (F.col("_abstract") == 0)) | (F.col("prole") != "body") | prev["special"] | F.col("shown").rlike(T.LIST_ITEM) | sign.rlike(T.PARAGRAPH_END)
+    v = v.withColumns({"_new": new, "_sign": sign})
+    begun = v.groupBy(*PAGE, "_art").agg(F.sum(F.col("_new").cast("int")).alias("_n"))
+    offset = by_page(begun, F.coalesce(F.sum("_n").over(pages_of.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "_offset")
+    v = v.withColumn("_in", F.sum(F.col("_new").cast("int")).over(page.rowsBetween(W.unboundedPreceding, 0))).join(offset, PAGE).withColumn("_seq", F.element_at("_offset", F.col("_art")) + F.col("_in"))
+    glue = F.when(F.col("_new") | F.lit(T.NO_SPACE_BEFORE).contains(F.left("shown", F.lit(1))), "").when(F.col("_sign").rlike("[A-Za-z0-9]$") & F.col("shown").rlike("^[A-Za-z0-9]"), " ").otherwise("")
     part = F.struct("page_index", order_of().alias("o"), "block_ordinal", F.concat(glue, "shown").alias("t"), F.col("prole").alias("r"))
     g = v.groupBy("journal_id", "article_id", "_seq").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     out = g.select("journal_id", "article_id", "_seq", F.col("parts")[0]["page_index"].alias("start_page"), F.element_at("parts", -1)["page_index"].alias("end_page"), F.col("parts")[0]["r"].alias("role"), F.size("parts").alias("n_blocks"), F.array_join(F.transform("parts", lambda x: x["t"]), "").alias("text"))
@@ -108,14 +120,30 @@ def page_texts(paras: DataFrame) -> DataFrame:
     return g.select(*PAGE, F.size("p").alias("n_paragraphs"), F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("full_text"))
 
 
+STRIDE = 4096
+
+
+def last_so_far(rows: DataFrame, keys: list[str], at: str, value: str, stride: int = STRIDE) -> DataFrame:
+    """`rows` with `_last`: the last `value` that isn't NULL up to each row of its key, in the order of the whole number `at`.
+
+    A window over a whole key would be one task's, and a key may be a third of all rows. Here windows are over `stride` numbers at a time, and what a stretch ends with is handed on by a window over one row a stretch.
+    """
+    w = W.partitionBy(*keys, "_stretch")
+    s = rows.withColumn("_stretch", F.floor(F.col(at) / stride)).withColumn("_here", F.last(value, ignorenulls=True).over(w.orderBy(at).rowsBetween(W.unboundedPreceding, 0)))
+    ends = s.groupBy(*keys, "_stretch").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at))).alias("_end"))
+    handed = ends.select(*(F.col(k).alias(f"_k{n}") for n, k in enumerate((*keys, "_stretch"))), F.last("_end", ignorenulls=True).over(W.partitionBy(*keys).orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)).alias("_from"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{n}")) for n, k in enumerate((*keys, "_stretch"))]
+    return s.join(handed, on, "left").select(*rows.columns, F.coalesce("_here", "_from").alias("_last"))
+
+
 def article_spans(pages: DataFrame) -> DataFrame:
     """(journal_id, start_page, end_page): articles from a first page to the page before the next, trailing pages of no text trimmed.
 
     A journal without first pages has one span from its first to its last trainable page, or none.
     """
-    w = W.partitionBy("journal_id").orderBy("page_index")
-    p = pages.select(*PAGE, "page_type").withColumn("start", F.last(F.when(F.col("page_type") == "article_first_page", F.col("page_index")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    p = p.withColumn("_any", F.max("start").over(W.partitionBy("journal_id")))
+    p = pages.select(*PAGE, "page_type").withColumn("_own", F.when(F.col("page_type") == "article_first_page", F.col("page_index")))
+    p = last_so_far(p, ["journal_id"], "page_index", "_own").withColumnRenamed("_last", "start")
+    p = p.join(p.groupBy("journal_id").agg(F.max("_own").alias("_any")), "journal_id")
     kept = ~F.coalesce(F.col("page_type"), F.lit("")).isin(*TRIMMED) | (F.col("page_index") == F.col("start"))
     spans = p.filter("start IS NOT NULL").groupBy("journal_id", F.col("start").alias("start_page")).agg(F.max(F.when(kept, F.col("page_index"))).alias("end_page"))
     rest = p.filter("_any IS NULL").filter(F.col("page_type").isin(*TRAINABLE)).groupBy("journal_id").agg(F.min("page_index").alias("start_page"), F.max("page_index").alias("end_page"))
@@ -173,9 +201,10 @@ def note_texts(n_notes: str) -> Column:
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
-    """Previous and next page of each page of a journal."""
-    w = W.partitionBy("journal_id").orderBy("page_index")
-    return pages.select(*PAGE, F.lag("page_index").over(w).alias("before"), F.lead("page_index").over(w).alias("after"))
+    """The page numbers before and after each page of a journal, from the first to the last that it has; NULL beyond them."""
+    last = pages.groupBy("journal_id").agg(F.max("page_index").alias("_last"))
+    i = F.col("page_index")
+    return pages.select(*PAGE).join(last, "journal_id").select(*PAGE, F.when(i > 1, i - 1).alias("before"), F.when(i < F.col("_last"), i + 1).alias("after"))
 
 
 def uncertainty(modes: DataFrame, assigned: DataFrame) -> DataFrame:

@@ -236,7 +236,7 @@ SELECT journal_id, page_index, NOT bool_or(ci >= 0 AND ci < coalesce(high, -1))
     "article_spans": f"WITH {SPANS} SELECT * FROM spans",
     "page_articles": f"""WITH {SPANS}, r AS (SELECT p.journal_id, p.page_index, max(start_page) AS start_page, arg_max(end_page, start_page) AS end_page FROM p LEFT JOIN spans s ON s.journal_id = p.journal_id AND p.page_index BETWEEN s.start_page AND s.end_page GROUP BY ALL)
 SELECT *, CASE WHEN start_page IS NULL THEN 'unknown' WHEN page_index = start_page THEN 'first_page' WHEN page_index = end_page THEN 'last_page' ELSE 'body' END AS role FROM r""",
-    "page_neighbours": f"WITH {PAGES} SELECT journal_id, page_index, lag(page_index) OVER (PARTITION BY journal_id ORDER BY page_index) AS before, lead(page_index) OVER (PARTITION BY journal_id ORDER BY page_index) AS after FROM p",
+    "page_neighbours": f"WITH {PAGES} SELECT journal_id, page_index, CASE WHEN page_index > 1 THEN page_index - 1 END AS before, CASE WHEN page_index < max(page_index) OVER (PARTITION BY journal_id) THEN page_index + 1 END AS after FROM p",
     "nearest_captions": f"""WITH {BLOCKS}, x AS (SELECT v.block_uid, c.block_uid AS caption_uid, c.block_ordinal, greatest(0.0, least(v.x1, c.x1) - greatest(v.x0, c.x0)) / greatest(1.0, least(v.x1 - v.x0, c.x1 - c.x0)) AS over_it, least(abs(c.y0 - v.y1), abs(v.y0 - c.y1)) AS gap
 FROM b v JOIN b c USING (journal_id, page_index) WHERE v.block_type IN ('figure', 'table', 'formula') AND v.x0 IS NOT NULL AND c.x0 IS NOT NULL AND c.semantic_role IN ('figure_caption', 'table_caption') AND c.block_uid <> v.block_uid AND {clean("c.text")} <> '')
 SELECT block_uid, caption_uid, rank FROM (SELECT *, row_number() OVER (PARTITION BY block_uid ORDER BY gap, block_ordinal, caption_uid)::INT AS rank FROM x WHERE over_it >= 0.2) WHERE rank <= 2""",

@@ -6,7 +6,6 @@ import json
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,8 +104,10 @@ def item_box() -> Column:
 
 def content_items(items: DataFrame, journal: str = "journal_id", ordinal: str = "ordinal") -> DataFrame:
     """Blocks of content-list items (columns of ITEM): page number carried forward from the last item that had one (1 at first), the first box, texts joined."""
-    w = W.partitionBy(journal).orderBy(ordinal).rowsBetween(W.unboundedPreceding, 0)
-    page = F.coalesce(F.last(item_page(), ignorenulls=True).over(w), F.lit(1))
+    from quirework.operators.pages import last_so_far
+
+    items = last_so_far(items.withColumn("_named", item_page()), [journal], ordinal, "_named")
+    page = F.coalesce("_last", F.lit(1))
     text = F.trim(F.regexp_replace(F.concat_ws(" ", *TEXT_KEYS), r"(?U)\s+", " "))
     return items.select(journal, ordinal, page.alias("page_index"), block_type(F.col("type")).alias("block_type"), item_box().alias("bbox"), text.alias("text"))
 

@@ -148,3 +148,19 @@ def test_jobs_of_visuals_links_and_pages_without_headings(spark):
     assert sorted((r.page_index, r.n_chars) for r in routing.unheaded_page_jobs(b, p).collect()) == [(1, 221), (7, 221)]
     for f in (routing.visual_jobs, routing.linked_page_jobs, routing.unheaded_page_jobs):
         assert f(b.limit(0), p).count() == 0
+
+
+def test_last_so_far_is_handed_over_stretches(spark):
+    rows = [(j, n, n if n % 7 == k else None) for k, j in enumerate(("a", "b", None)) for n in range(0, 60, k + 1)]
+    df = spark.createDataFrame(rows, "j string, n int, v int")
+    want = {}
+    for j in ("a", "b", None):
+        last = None
+        for k, n, v in rows:
+            if k == j:
+                last = v if v is not None else last
+                want[(j, n)] = last
+    for stride in (4, 1000):
+        got = {(r.j, r.n): r._last for r in pages.last_so_far(df, ["j"], "n", "v", stride).collect()}
+        assert got == want
+    assert pages.last_so_far(df.limit(0), ["j"], "n", "v").count() == 0
