@@ -33,7 +33,18 @@ o AS (SELECT a.id AS id_a, b.id AS id_b, a.n AS na, b.n AS nb, count(*) AS both_
 SELECT id_a, id_b FROM o WHERE both_n * 1.8 >= 0.8 * (na + nb) - 1e-9
 """
 
+# Compatibility folding as far as plain SQL can: full-width signs, and the other compatibility signs that the tables hold. Runs of 40 comparable characters that both texts have.
+_WIDE = [*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)]
+_FULL, _HALF = "".join(map(chr, _WIDE)), "".join(chr(c - 0xFEE0) for c in _WIDE)
+_FOLDED = "regexp_replace(lower(translate(replace(replace(replace({}, '\ufb01', 'fi'), '\ufb02', 'fl'), '\u2103', '\u00b0C'), '" + _FULL + "\u00b5\u2126\u00b2\u00b3', '" + _HALF + "\u03bc\u03a923')), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+_LEAKS = f"""
+WITH i AS (SELECT item_id, {_FOLDED.format("item_text")} AS c FROM eval_items WHERE item_text IS NOT NULL), d AS (SELECT doc_id, {_FOLDED.format("text")} AS c FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(c) - 38), lambda k: substr(c, k, 40))) AS run FROM i WHERE length(c) >= 40),
+dw AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, length(c) - 38), lambda k: substr(c, k, 40))) AS run FROM d WHERE length(c) >= 40)
+SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (run)"""
+
 ORACLES: dict[str, str] = {
+    "p9_found": _LEAKS,
     "p3_found": _PAIRS,
     "p6_found": _STRETCH,
     "p7_found": _REPEATED,
