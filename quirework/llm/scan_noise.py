@@ -425,7 +425,7 @@ def _parted(fragment: str) -> tuple[set[str], set[str]]:
         for p in pieces[i:]:
             joined += p
             found.update(_words(joined.lower()))
-            if len(joined) > 64 * WORD_LENGTH:  # no word that long is corrected
+            if len(joined) - len(pieces[i]) > WORD_LENGTH:  # no word that long is corrected, and words beside it are found with the last part alone
                 break
     return found, pairs
 

@@ -322,6 +322,19 @@ def test_edge_lines_and_breaks():
     assert scan_noise.breaks("crus- \nher and chan¬\nged 2013-\n2020") == [("crus", "her"), ("chan", "ged")]
 
 
+def test_words_of_long_chains_of_breaks():
+    """Every word that joining any of the breaks gives is found, and a chain of thousands takes no longer than its length."""
+    text = "self-crus-\nher a|b- c-\nd 9x-\ny-12abc"
+    for a, z in scan_noise.fragments(text):
+        piece = text[a:z]
+        found, pairs = scan_noise._parted(piece)
+        for own in ([], *([p] for p in pairs), list(pairs)):
+            joined, _ = scan_noise._join_breaks(piece, set(own))
+            assert set(scan_noise._words(joined.lower())) <= found
+    found, pairs = scan_noise._parted("ab-\n" * 20_000 + "cd")
+    assert "abab" in found and "abcd" in found and pairs == {"ab\tab", "ab\tcd"}
+
+
 def test_repair(spark):
     rng = random.Random(4)
     words = "pressure temperature returns because stable measured filter resistance".split()
