@@ -211,6 +211,20 @@ def job_metadata(jobs: DataFrame, pages: DataFrame, articles: DataFrame, journal
     )
 
 
+def page_inputs(jobs: DataFrame, pages: DataFrame) -> DataFrame:
+    """What each job of a whole page (journal_id, page_index, task_type) is given: image, type, columns and texts, each for the tasks that take it and NULL for others."""
+    layout_, order, meta, method, claim = "page_to_journal_layout_description", routing.ORDER_TASK, "article_metadata_extraction", "method_experiment_condition_extraction", "evidence_to_claim_chain"
+    task = F.col("task_type")
+    given = lambda c, *tasks: F.when(task.isin(*tasks), c)
+    j = jobs.select(*PAGE, "task_type").join(pages.select(*PAGE, "page_image", "page_type", "column_mode", "article_title", "full_text", "visible_text", "reading_order_blocks"), PAGE)
+    full = T.truncate_text(F.col("full_text"), PAGE_CHARS)
+    return j.select(
+        *PAGE, "task_type", given(F.coalesce("page_image", F.lit("")), layout_, order, meta, claim).alias("page_image"), given(F.col("page_type"), layout_).alias("page_type"), given(F.col("column_mode"), layout_, order).alias("column_mode"),
+        given(F.rtrim(F.left(routing.page_text(), F.lit(PAGE_CHARS))), layout_, order).alias("ocr_text"), given(full, layout_, order).alias("paragraph_text"), given(F.col("reading_order_blocks"), order).alias("reading_order"),
+        given(F.coalesce("article_title", F.lit("")), method, claim).alias("article_title"), given(full, meta, method, claim).alias("source_text"),
+    )
+
+
 def subfigure_note(label: Column, chunk: Column, every: Column, parts: Column) -> Column:
     """What is said of a part of a group of subfigures: which marks it has, and which others its label has. `chunk` and `every` are arrays of marks."""
     shown_marks = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.lit("("), x, F.lit(")"))), "、")

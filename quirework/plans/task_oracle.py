@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quirework.functions import text as T
 from quirework.operators import generation, links, outputs, pages, quality, routing, samples
-from quirework.plans.oracle import ANSWER, ASSIGNED, BLOCKS, CORPUS, FORMAT, KIND, PAGES, PARAS, QLT4, QUALITY, QUESTION, RO, TEXTS, _minus, _safe, _sentences, _terms, clean, hit, names, q, words
+from quirework.plans.oracle import ANSWER, ASSIGNED, BLOCKS, CORPUS, FORMAT, KIND, PAGE_TEXT, PAGES, PARAS, QLT4, QUALITY, QUESTION, RO, TEXTS, _minus, _safe, _sentences, _terms, clean, hit, names, q, words
 from quirework.plans.task_queries import BUDGET
 from quirework.sources import readers
 
@@ -290,4 +290,7 @@ SELECT last AS ordinal FROM k WHERE last IS NOT NULL""",
 SELECT b.journal_id, b.page_index, block_uid, block_id, block_type, 'figure_table_formula_to_text' AS task_type FROM b JOIN tr USING (journal_id, page_index) WHERE tr.ok AND block_type IN ('figure', 'table', 'formula') AND NOT EXISTS (SELECT 1 FROM sk WHERE sk.journal_id = b.journal_id AND sk.page_index = b.page_index AND sk.block_id = b.block_id)""",
     "unheaded_page_jobs": f"""WITH {BLOCKS}, {TEXTS}, u AS (SELECT journal_id, page_index, bool_or(coalesce(semantic_role = 'section_heading', false) AND {clean("text")} <> '') AS headed, (sum(length({clean("text")}) + 1) FILTER (block_type IN ({names(routing.TEXT_TYPES)}) AND length({clean("text")}) >= 12) - 1)::INT AS n_chars FROM b GROUP BY ALL)
 SELECT journal_id, page_index, n_chars, 'section_keypoint_summary' AS task_type FROM u JOIN tr USING (journal_id, page_index) WHERE NOT headed AND n_chars >= 220 AND tr.ok AND length({clean("full_text")}) >= 120""",
+    "page_inputs": f"""WITH {TEXTS}, {JOBS}, g AS (SELECT jb.task_type, p.*, {PAGE_TEXT} AS pt, {cut("p.full_text", 5000)} AS f5, task_type = 'page_to_journal_layout_description' AS lay, task_type = 'two_column_reading_order_reconstruction' AS ord FROM jb JOIN p USING (journal_id, page_index))
+SELECT journal_id, page_index, task_type, CASE WHEN task_type <> 'method_experiment_condition_extraction' THEN coalesce(page_image, '') ELSE '-' END AS page_image, CASE WHEN lay THEN coalesce(page_type, '-') ELSE '-' END AS page_type, CASE WHEN lay OR ord THEN coalesce(column_mode, '-') ELSE '-' END AS column_mode, CASE WHEN lay OR ord THEN rtrim(left(pt, 5000)) ELSE '-' END AS ocr_text,
+CASE WHEN lay OR ord THEN f5 ELSE '-' END AS paragraph_text, CASE WHEN ord THEN coalesce(array_to_string(reading_order_blocks, '|'), '-') ELSE '-' END AS reading_order, CASE WHEN task_type IN ('method_experiment_condition_extraction', 'evidence_to_claim_chain') THEN coalesce(article_title, '') ELSE '-' END AS article_title, CASE WHEN NOT lay AND NOT ord THEN f5 ELSE '-' END AS source_text FROM g""",
 }

@@ -99,6 +99,14 @@ def job_metadata(spark, d):
     return outputs.job_metadata(routing.page_jobs(p), p, table(spark, d, "articles"), table(spark, d, "journals"))
 
 
+def page_inputs(spark, d):
+    """PRJ-15 of page jobs."""
+    p = _pages(spark, d)
+    i = outputs.page_inputs(routing.page_jobs(p), p)
+    text = lambda c: F.coalesce(F.col(c), F.lit("-")).alias(c)
+    return i.select(*PAGE, "task_type", *map(text, ("page_image", "page_type", "column_mode", "ocr_text", "paragraph_text", "article_title", "source_text")), F.coalesce(F.array_join("reading_order", "|"), F.lit("-")).alias("reading_order"))
+
+
 def article_authors(spark, d):
     """PRJ-10: authors by the block after the title."""
     return pages.article_authors(_blocks(spark, d), _pages(spark, d)).select(*PAGE, _joined("authors"))
@@ -308,7 +316,7 @@ def journal_times(spark, d):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        visual_objects, page_descriptions, page_outputs, page_lists, heading_outputs, heading_answers, visual_outputs, condition_outputs, claim_outputs, window_outputs, metadata_outputs, job_metadata, article_authors, page_note_texts, stored_order, visual_images, links_or_default, crop_rectangles,
+        visual_objects, page_descriptions, page_outputs, page_lists, heading_outputs, heading_answers, visual_outputs, condition_outputs, claim_outputs, window_outputs, metadata_outputs, job_metadata, page_inputs, article_authors, page_note_texts, stored_order, visual_images, links_or_default, crop_rectangles,
         missing_images, figures_bound, corpus_coverage, image_correspondence, quality_overall, figure_generic, sample_gate, failure_summary, display_texts, export_answers, export_alpaca, pt_records, payload_hashes, maybe_json, folded_payloads, fitted_payloads, journal_rows, issue_fields, sample_ranks,
         task_completion, pending_tasks, open_jobs, repeated_forms, page_titles, journal_times,
     )
