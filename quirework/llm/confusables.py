@@ -27,7 +27,10 @@ CYRILLIC_LATIN = {a: b for a, b in CYRILLIC_LATIN.items() if b.isascii()}
 CYRILLIC_LATIN["у"] = "y"
 GREEK_LATIN = dict(zip("ονικραυγχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovikpauyxABEZHIKMNOPTYX"))
 ARMENIAN_LATIN = dict(zip("օսոհցքՕՍԼ", "ounhgqOUL"))
-OTHER_LATIN = {"ı": "i", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʋ": "v", "ⅼ": "l", "ꓮ": "A"}
+OTHER_LATIN = {"ı": "i", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʋ": "v", "ⅼ": "l"}
+CHEROKEE_LATIN = dict(zip("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏏᏒᏔᏚᏙᏞᏟᏢᏦᏴ", "DRTiAJEWMHGZbRWSVLCPKB"))
+COPTIC_LATIN = dict(zip("ⲞⲟⲢⲣⲤⲥⲎⲒⲔⲘⲚⲦⲬ", "OoPpCcHIKMNTX"))
+LISU_LATIN = dict(zip("ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPdDTGKJCZFMNLSRVHWXYAEIOU"))
 # Kana and signs that look like ideographs.
 KANA_HAN = dict(zip("ロエカニトタハミオチリヒーノ", "口工力二卜夕八三才千刂匕一丿"))
 SYMBOLS = frozenset("μµΩΔαβγδθλπσφωηρτε")
@@ -64,7 +67,7 @@ def _latin(ch: str) -> str | None:
     """The Latin spelling of a letter; None if it has none."""
     if script(ch) == "LATIN" and ch not in OTHER_LATIN:
         return ch
-    for t in (CYRILLIC_LATIN, GREEK_LATIN, ARMENIAN_LATIN, OTHER_LATIN):
+    for t in (CYRILLIC_LATIN, GREEK_LATIN, ARMENIAN_LATIN, CHEROKEE_LATIN, COPTIC_LATIN, LISU_LATIN, OTHER_LATIN):
         if ch in t:
             return t[ch]
     return None
@@ -122,10 +125,10 @@ def _forms(text: str) -> tuple[str, bool]:
 
 def _doubted(text: str) -> list[str]:
     """The whole-script tokens of `text` that have a Latin double, of scripts without any other letter in it."""
-    if not re.search(r"[\u0370-\u058f]", text):
+    if not re.search(r"[\u0370-\u058f\u13a0-\u13ff\u2c80-\u2cff\ua4d0-\ua4ff]", text):
         return []
     words = [t for w in _WORD.findall(text) for t in re.findall(r"[^\u2e80-\u9fff\uf900-\ufaff]+", w)]
-    firm = {script(c) for w in words if skeleton(w) is None for c in w if script(c) in ("CYRILLIC", "GREEK", "ARMENIAN") and c not in SYMBOLS}
+    firm = {script(c) for w in words if skeleton(w) is None for c in w if script(c) in ("CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "COPTIC", "LISU") and c not in SYMBOLS}
     return [w for w in words if skeleton(w) and script(w[0]) not in firm]
 
 

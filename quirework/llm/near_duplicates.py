@@ -170,8 +170,11 @@ def pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def classes(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """One row per id and text: rep, class_id (the least rep that links lead to) and n_links (links of its text to other texts). Copies are counted by their common text, never in pairs."""
+    """One row per id and text: text_id (the least id with that text), class_id (the least id of all texts that links lead to) and n_links (links of its text to other texts). Copies are counted by their common text, never in pairs."""
     label = least_labels(linked.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).withColumnRenamed("u", "rep")
     ends = linked.select(F.explode(F.array("rep_a", "rep_b")).alias("rep"))
     degree = ends.groupBy("rep").agg(F.count("*").alias("n_links"))
-    return members.join(label, "rep", "left").join(degree, "rep", "left").select("id", "rep", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    texts = members.groupBy("rep").agg(F.min("id").alias("text_id")).join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    named = texts.groupBy("label").agg(F.min("text_id").alias("class_id"))
+    whole = texts.join(named, "label").join(degree, "rep", "left").select("rep", "text_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return members.join(whole, "rep").select("id", "text_id", "class_id", "n_links")

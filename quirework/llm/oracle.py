@@ -43,7 +43,20 @@ iw AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(c) - 38),
 dw AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, length(c) - 38), lambda k: substr(c, k, 40))) AS run FROM d WHERE length(c) >= 40)
 SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (run)"""
 
+_CLASSES = _PAIRS.split("g AS (SELECT id,", 1)[0].replace("WITH c AS", "WITH RECURSIVE c AS") + r"""
+t AS (SELECT t, min(id) AS id FROM d GROUP BY t),
+g AS (SELECT id, unnest(list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3)))) AS gram FROM t),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+h AS (SELECT g.id, gram, n FROM g JOIN n USING (id)),
+o AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS both_n FROM h a JOIN h b ON a.gram = b.gram AND a.id < b.id AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) GROUP BY ALL),
+e AS (SELECT a, b FROM o WHERE both_n * 1.8 >= 0.8 * (na + nb) - 1e-9), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(u, v) AS (SELECT id, id FROM t UNION SELECT r.u, s.b FROM r JOIN s ON s.a = r.v),
+k AS (SELECT u, min(v) AS class_id FROM r GROUP BY u), m AS (SELECT a, count(*) AS n_links FROM s GROUP BY a),
+w AS (SELECT d.id, t.id AS text_id, class_id, coalesce(n_links, 0) AS n_links FROM (SELECT DISTINCT id, t FROM d) d JOIN t USING (t) JOIN k ON k.u = t.id LEFT JOIN m ON m.a = t.id)
+SELECT i.id, text_id, class_id, coalesce(n_links, 0) AS n_links FROM (SELECT DISTINCT id FROM samples) i LEFT JOIN w USING (id)"""
+
 ORACLES: dict[str, str] = {
+    "p3_links": _CLASSES,
     "p9_found": _LEAKS,
     "p3_found": _PAIRS,
     "p6_found": _STRETCH,

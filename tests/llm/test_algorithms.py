@@ -45,7 +45,8 @@ def test_classes(spark):
     members = spark.createDataFrame([(f"i{k}", k) for k in range(12)] + [("j3", 3)], "id string, rep long")
     links = spark.createDataFrame([(k, k + 1, 0.9) for k in range(8)] + [(9, 10, 0.9)], "rep_a long, rep_b long, similarity double")
     got = {r.id: (r.class_id, r.n_links) for r in near_duplicates.classes(members, links).collect()}
-    assert got == {**{f"i{k}": (0, 1 if k in (0, 8) else 2) for k in range(9)}, "i9": (9, 1), "i10": (9, 1), "i11": (11, 0), "j3": (0, 2)}
+    assert got == {**{f"i{k}": ("i0", 1 if k in (0, 8) else 2) for k in range(9)}, "i9": ("i10", 1), "i10": ("i10", 1), "i11": ("i11", 0), "j3": ("i0", 2)}
+    assert {r.id: r.text_id for r in near_duplicates.classes(members, links).collect()}["j3"] == "i3"
     assert near_duplicates.classes(members.limit(0), links.limit(0)).count() == 0
 
 

@@ -106,6 +106,8 @@ DISGUISES = [
     ("3\u00a0mm", {"space"}, "3 mm"),
     ("M\u043edel", {"lookalike"}, "Model"),
     ("Ρrοbe", {"lookalike"}, "Probe"),
+    ("\u13aapple", {"lookalike"}, "Apple"),
+    ("\u2c9fil and \ua4d2ata", {"lookalike"}, "oil and data"),
     ("提⾼", {"lookalike"}, "提高"),
     ("veriﬁcation", {"lookalike"}, "verification"),
     ("工业力学与口罩ロ径", set(), None),
