@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quirework.functions import text as T
 from quirework.operators.layout import PAGE
 from quirework.operators.links import SUBFIGURES_PER_CROP, VISUAL, subfigure_groups
-from quirework.operators.pages import LOW_VALUE, TRAINABLE, order_of
+from quirework.operators.pages import LOW_VALUE, STRIDE, TRAINABLE, order_of
 
 # Words that route a page.
 METHOD = ("方法", "模型", "试验", "实验", "仿真", "工况", "计算", "参数", "边界条件", "评价指标", "测量", "流程")
@@ -102,16 +102,23 @@ def unheaded_page_jobs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return g.join(p, PAGE, "left_semi").select(*PAGE, "n_chars", F.lit(SECTION_TASK).alias("task_type"))
 
 
-def page_windows(pages: DataFrame) -> DataFrame:
-    """Windows of up to WINDOW pages forward in one run of an article, trainable pages of them, two and more with MIN_PAGE characters."""
-    w = W.partitionBy("journal_id").orderBy("page_index")
+def page_windows(pages: DataFrame, stride: int = STRIDE) -> DataFrame:
+    """Windows of up to WINDOW pages forward in one run of an article, trainable pages of them, two and more with MIN_PAGE characters.
+
+    The next pages of a page are looked up within `stride` page numbers; the last pages of such a stretch get the first ones of those that follow, so that no window is over a whole journal.
+    """
     t = page_text()
-    # Only lengths enter the window: one journal's pages may be many.
-    p = pages.select(*PAGE, "article_id", F.length(t).alias("n"), ((t != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE)).alias("ok"))
-    p = p.withColumn("run", F.sum((~F.col("article_id").eqNullSafe(F.lag("article_id").over(w))).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    ahead = F.collect_list(F.struct("page_index", "run", "ok", "n")).over(w.rowsBetween(0, WINDOW - 1))
-    inside = F.filter(ahead, lambda x: (x["run"] == F.col("run")) & x["ok"])
-    p = p.withColumn("win", inside)
+    row = F.struct("page_index", "article_id", "ok", "n")
+    p = pages.select(*PAGE, "article_id", F.length(t).alias("n"), ((t != "") & ~F.coalesce(F.col("page_type"), F.lit("")).isin(*LOW_VALUE)).alias("ok"), F.floor(F.col("page_index") / stride).alias("_stretch"))
+    here = W.partitionBy("journal_id", "_stretch").orderBy("page_index")
+    firsts = p.groupBy("journal_id", "_stretch").agg(F.slice(F.sort_array(F.collect_list(row)), 1, WINDOW - 1).alias("f"))
+    later = W.partitionBy("journal_id").orderBy("_stretch").rowsBetween(1, WINDOW - 1)
+    handed = firsts.select("journal_id", "_stretch", F.flatten(F.collect_list("f").over(later)).alias("_next"))
+    p = p.withColumn("_ahead", F.collect_list(row).over(here.rowsBetween(0, WINDOW - 1))).join(handed, ["journal_id", "_stretch"])
+    p = p.withColumn("_all", F.slice(F.concat("_ahead", "_next"), 1, WINDOW))
+    # a page counts while all pages up to it are of the first one's article
+    run = F.filter("_all", lambda x, i: F.forall(F.slice("_all", F.lit(1), i + 1), lambda y: y["article_id"].eqNullSafe(F.col("article_id"))))
+    p = p.withColumn("win", F.filter(run, lambda x: x["ok"]))
     joined = F.aggregate("win", F.lit(0), lambda a, x: a + x["n"]) + F.size("win") - 1
     return p.filter((F.size("win") >= 2) & (joined >= MIN_PAGE)).select(*PAGE, F.transform("win", lambda x: x["page_index"]).alias("window"))
 

@@ -164,3 +164,26 @@ def test_last_so_far_is_handed_over_stretches(spark):
         got = {(r.j, r.n): r._last for r in pages.last_so_far(df, ["j"], "n", "v", stride).collect()}
         assert got == want
     assert pages.last_so_far(df.limit(0), ["j"], "n", "v").count() == 0
+
+
+def test_page_windows_go_over_stretches(spark):
+    """The rows are the same whatever the stretches are, with gaps in the page numbers and runs of articles."""
+    rng = random.Random(6)
+    rows, article = [], "a0"
+    for j in ("j", "k"):
+        for n in sorted(rng.sample(range(1, 90), 50)):
+            article = f"a{rng.randrange(4)}" if rng.random() < 0.3 else article
+            rows.append((j, n, article if article != "a3" else None, "article_body" if rng.random() < 0.85 else "cover", "字" * rng.choice((5, 70, 150))))
+    df = spark.createDataFrame(rows, "journal_id string, page_index int, article_id string, page_type string, full_text string").withColumn("visible_text", F.lit(None).cast("string"))
+    want = {}
+    for i, (j, n, a, _, _) in enumerate(rows):
+        win = []
+        for k in range(i, min(i + routing.WINDOW, len(rows))):
+            if rows[k][0] != j or rows[k][2] != a:
+                break
+            if rows[k][3] != "cover":
+                win.append(rows[k])
+        if len(win) >= 2 and sum(len(r[4]) for r in win) + len(win) - 1 >= routing.MIN_PAGE:
+            want[j, n] = [r[1] for r in win]
+    for stride in (2, 7, 4096):
+        assert {(r.journal_id, r.page_index): list(r.window) for r in routing.page_windows(df, stride).collect()} == want
