@@ -29,7 +29,7 @@ DOLLARS = r"\$\$|(?<![A-Za-z0-9$])\$[^$\n]*[\\^_{=][^$\n]*\$|(?<![\w$\\])\$(?=[^
 FENCE = r"(?s)```.*?(?:```|\z)"
 MARKDOWN = r"```|`[^`\n]+`|\*\*[^*\s](?:[^*]*[^*\s])?\*\*|(?<![\w*])\*[^*\s\d](?:[^*\n]*[^*\s])?\*(?![\w*])|!\[[^\]]*\]\([^)]*\)|(?<!\[)\[[^\[\]]+\]\([^()\s]+(?:\s\"[^\"]*\")?\)|~~[^~\n]+~~|(?<!\w)__[^_\s][^_\n]*__(?!\w)|(?<![\w\\_])_[^_\s](?:[^_\n]*[^_\s])?_(?![\w_])|<https?://[^\s<>]+>"
 MARKDOWN_LINES = r"(?m)^[ ]{0,3}#{1,6}[ \t]+\S|^[ ]{0,3}>[ \t]?(?![ \t]*[0-9.]+[ \t]*[。.,，;；]?[ \t]*\r?$)\S|^[ ]{0,6}[-*+][ \t]+(?![0-9 ]+[-*+]?[ \t]*\r?$)\S|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*\r?$|^[^\n|]*\w[^\n|]*\n(?:={3,}|-{3,})[ \t]*\r?$"
-WIKI = r"\[\[[^\[\]]+\]\]|(?<![\\{}\w])\{\{[^{}]+\}\}|(?<!')'{2,5}(?!')[^'\n]+'{2,5}"
+WIKI = r"\[\[[^\[\]]+\]\]|(?<![\\{}_^])(?<!\\[A-Za-z]{1,20})\{\{[^{}]+\}\}|(?<!')'{2,5}(?!')[^'\n]+'{2,5}"
 WIKI_LINES = r"(?m)^[ \t]*(={2,6})[ \t]*[^=\n]+?[ \t]*\1[ \t]*\r?$|^[ \t]*\{\|.*$|^[ \t]*\|\}[ \t]*\r?$"
 #: Characters without width would break a mark apart.
 _INVISIBLE = r"[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]"
@@ -70,7 +70,7 @@ _INLINE = [
     (re.compile(r"!\[([^\]]*)\]\([^)]*\)"), r"\1"),
     (re.compile(r"(?<!\[)\[([^\[\]]+)\]\([^()\s]+(?:\s\"[^\"]*\")?\)"), r"\1"),
     (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]+)\]\]"), r"\1"),
-    (re.compile(r"(?<![\\{}\w])\{\{[^{}]+\}\}"), ""),
+    (re.compile(r"(\\[A-Za-z]+)?(?<![\\{}_^])\{\{[^{}]+\}\}"), lambda m: m[0] if m[1] else ""),
     (re.compile(r"\*\*([^*\s](?:[^*]*[^*\s])?)\*\*"), r"\1"),
     (re.compile(r"(?<![\w*])\*([^*\s\d](?:[^*\n]*[^*\s])?)\*(?![\w*])"), r"\1"),
     (re.compile(r"(?<!')'{2,5}(?!')([^'\n]+)'{2,5}"), r"\1"),

@@ -39,6 +39,8 @@ MARKS = [
     (22, "see <https://example.org/a>", {"markdown"}),
     (23, "Results\n=======\ntext", {"markdown"}),
     (24, "an _important_ point", {"markdown"}),
+    (26, "3) filter 91.8 mm{{cite journal|title=x|page=7}}", {"wiki"}),
+    (27, "\\frac{{a}}{b} and x_{{i}}", {"latex"}),
     (25, "run_5 and _x, \\\\server\\share, C:\\data, /a\\b.txt, costs $3-5 and $4, a $ b - c $", set()),
 ]
 
@@ -56,6 +58,7 @@ def test_convert_keeps_structure():
     text = "# Head\n\npara **bold** [link](#a)\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 | 2 |\n```py\nx = 1\n```\n$$E=1$$\n<ul><li>three</li></ul>\n{| class=x\n! h\n|-\n| 5\n|}"
     assert markup.convert(text) == [("heading", "Head"), ("paragraph", "para bold link"), ("item", "one"), ("item", "two"), ("row", "a\tb"), ("row", "1\t2"), ("code", "x = 1"), ("formula", "E=1"), ("item", "three"), ("row", "h"), ("row", "5")]
     assert markup.convert("Results\n=====\nan _important_ point<ref>a</ref>, see <https://example.org/a> where $x+y$ holds") == [("heading", "Results"), ("paragraph", "an important point, see https://example.org/a where x+y holds")]
+    assert markup.convert("91.8 mm{{cite journal|title=x}} \\frac{{a}}{b}") == [("paragraph", "91.8 mm \\frac{{a}}{b}")]
     assert markup.convert("") == []
     assert markup.plain([("heading", "H"), ("item", "a")]) == "H\n\n• a"
 
