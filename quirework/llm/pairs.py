@@ -48,9 +48,10 @@ _ASKS = re.compile(r"译|用.{0,4}[文语](?:写|回答|作答|给出|表述)|\b
 
 _CUE = re.compile("|".join(f"(?:{x.pattern})" for x in (_UNABLE, _APOLOGY, _MACHINE, _REFERRAL)), re.I)
 _POINT = re.compile(r"\d\.\s*\Z")
-_CLAUSE = re.compile(r"[^。！？!?\n.]*(?:[。！？!?]+[”’」』）)\"]*|\n|\.(?=\s|\Z)|\.|\Z)\s*")
+_CLAUSE = re.compile(r"[^。！？!?\n.]*(?:[。！？!?]+[”’」』）)\"]*(?:[（(][^（）()\n]{1,20}[）)])*|\n|\.(?=\s|\Z)|\.|\Z)\s*")
 _LIST = re.compile(r"\s*(?:[（(]?\d{1,3}[)）.、．]|[-•*·]\s|关键词|[Kk]eywords|第?[一二三四五六七八九十]+[、是])")
-_TERMINAL = re.compile(r"[。！？!?…；;][”’」』）)\"]*\s*\Z|[.][”’」』）)\"]*\s*\Z")
+# A short remark in brackets may follow the end of a sentence.
+_TERMINAL = re.compile(r"[。！？!?…；;.][”’」』）)\"]*\s*(?:[（(][^（）()\n]{1,20}[）)]\s*){0,3}\Z")
 _FIGURE = re.compile(r"\d[\d.]*\s*[^\s\d，,。]{0,8}\s*\Z")
 _DANGLING = re.compile(r"(?:[，,、：:（(\-–—]|（见|\(see|但是|以及|其中|并且|因此|而且|或者|和|与|的|e\.g\.,?|i\.e\.,?|\b(?:the|a|an|of|and|or|with|to|by|for|in|which|that|but|as|from))\s*\Z")
 _LETTERS = re.compile(r"[^\W\d_]")

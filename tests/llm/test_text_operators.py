@@ -239,6 +239,7 @@ CASES = [
     ("ok3", "请把下面的结论译成英文。", "The valve was held at 30 percent of the load and the flow was recorded.", None),
     ("ok4", "文中针对水泵采用了怎样的试验条件？", "在低温条件下，阀门的强度由12变为30，偏差不大。\n关键词：水泵；阀门；电缆", None),
     ("ok5", "文中针对水泵采用了怎样的试验条件？", "文中针对水泵采用了怎样的试验条件？在低温条件下，阀门的强度由12变为30，偏差不大。在高湿条件下，电缆的强度由15变为38，偏差稳定。", None),
+    ("ok6", "文中针对水泵采用了怎样的试验条件？", "在低温条件下，阀门的强度由12变为30，偏差不大。（下同）", None),
     ("e1", "问题是什么？", None, "empty"),
     ("e2", "问题是什么？", "\u3000\n", "empty"),
     ("e3", "问题是什么？", "N/A", "empty"),
